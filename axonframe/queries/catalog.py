@@ -7,10 +7,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from axonframe.queries import mirror_diff, points, skew
+from axonframe.queries import drift, mirror_diff, points, skew
 
 FLAGSHIP = "p2_found"
-_MODULES = (mirror_diff, skew, points)
+_MODULES = (mirror_diff, skew, drift, points)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
