@@ -15,14 +15,14 @@ def tree_levels(df: DataFrame, fan_in: int) -> int:
     split = int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(conf.get("spark.sql.files.maxPartitionBytes", "128m")))
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     splits = max(df.sparkSession.sparkContext.defaultParallelism, size / split, 2)
-    return min(5, max(1, math.ceil(math.log(splits, fan_in))))
+    return min(5, max(2, math.ceil(math.log(splits, fan_in))))
 
 
 def tree_aggregate(
     df: DataFrame,
     keys: list[str],
     states: dict[str, tuple[Column, Callable[[Column], Column]]],
-    fan_in: int = 16,
+    fan_in: int = 8,
     levels: int | None = None,
 ) -> DataFrame:
     """Aggregate ``df`` by ``keys`` through a tree of merges.

@@ -20,14 +20,12 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
 
 
 def heavy_values(df: DataFrame, key: str) -> DataFrame:
-    """Values of ``key`` that hold at least one in ``HEAVY_SHARE`` of all rows: ``key_id``, ``n``, ``n_rows``.
+    """Values of ``key`` that hold at least one in ``HEAVY_SHARE`` of all rows: ``key_id``, ``n``.
 
-    All rows count towards ``n_rows``, those with a null key too; null itself is never heavy. An empty table has no
+    All rows count towards the total, those with a null key too; null itself is never heavy. An empty table has no
     heavy values. At most ``HEAVY_SHARE`` rows come out.
     """
-    total = df.agg(F.count(F.lit(1)).alias("n_rows"))
-    counts = key_counts(df, key).where("key_id is not null")
-    return counts.join(F.broadcast(total), F.col("n") * HEAVY_SHARE >= F.col("n_rows"))
+    return key_counts(df, key).where(F.col("key_id").isNotNull() & (F.col("n") * HEAVY_SHARE >= df.count()))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
