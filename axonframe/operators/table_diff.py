@@ -16,7 +16,6 @@ from axonframe.plans import bounded_count, cut_lineage
 ROWS_PER_BUCKET = 8
 #: Most unequal buckets that are broadcast; more are joined by a shuffle.
 BROADCAST_BUCKETS = 1_000_000
-_ROW = "__row"
 _LOW = 0xFFFFFFFF
 
 
@@ -49,6 +48,17 @@ def _both(main: DataFrame, mirror: DataFrame, columns: list[str]) -> DataFrame:
     return side(main, 1).unionByName(side(mirror, -1))
 
 
+def _bucket_sums(df: DataFrame, keys: list[str], fields: list[Field], buckets: int, loaded: str, sign: int) -> DataFrame:
+    """The matrix of one copy: per bucket, for the keys (0) and each field, the two lanes of the sum of hashes."""
+    hashes = [f"__h{i + 1}" for i in range(len(fields))]
+    rows = df.select(*keys, recency(loaded).alias("__last"), *[F.xxhash64(F.lit(i), *keys, f.digest()).alias(h) for i, (f, h) in enumerate(zip(fields, hashes, strict=True))])
+    standing = rows.groupBy(*keys).agg(*[F.max_by(h, "__last").alias(h) for h in hashes]).withColumn("__h0", F.xxhash64(*keys))
+    lanes = []
+    for h in ["__h0", *hashes]:
+        lanes += [F.sum(F.col(h).bitwiseAND(_LOW) * sign).alias(f"{h}l"), F.sum(F.shiftrightunsigned(F.col(h), 32) * sign).alias(f"{h}u")]
+    return standing.groupBy(_bucket(keys, buckets).alias("bucket")).agg(*lanes)
+
+
 def checksum_matrix(main: DataFrame, mirror: DataFrame, keys: list[str], fields: list[Field], buckets: int, loaded: str) -> DataFrame:
     """Unequal cells of the matrix: ``bucket`` and a ``mask`` with bit 0 for the keys and bit i + 1 for field i.
 
@@ -56,16 +66,8 @@ def checksum_matrix(main: DataFrame, mirror: DataFrame, keys: list[str], fields:
     32 bits that cannot overflow; the mirror's hashes are subtracted. The bucket derives from the hash that partitions
     the standing rows, so one bucket lies in one partition and the sums shuffle one row per bucket.
     """
-    last = recency(loaded)
-    rows = _both(main.withColumn("__last", last), mirror.withColumn("__last", last), [*keys, *[f.name for f in fields], "__last"])
-    rows = rows.select(*keys, "__side", "__last", *[F.xxhash64(F.lit(i), *keys, f.digest()).alias(f"__h{i + 1}") for i, f in enumerate(fields)])
-    hashes = [f"__h{i + 1}" for i in range(len(fields))]
-    standing = rows.groupBy(*keys, "__side").agg(*[F.max_by(h, "__last").alias(h) for h in hashes])
-    standing = standing.withColumn("__h0", F.xxhash64(*keys))
-    lanes = []
-    for h in ["__h0", *hashes]:
-        lanes += [F.sum(F.col(h).bitwiseAND(_LOW) * F.col("__side")).alias(f"{h}l"), F.sum(F.shiftrightunsigned(F.col(h), 32) * F.col("__side")).alias(f"{h}u")]
-    sums = standing.groupBy(_bucket(keys, buckets).alias("bucket")).agg(*lanes)
+    sums = _bucket_sums(main, keys, fields, buckets, loaded, 1).unionByName(_bucket_sums(mirror, keys, fields, buckets, loaded, -1))
+    sums = sums.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in sums.columns if c != "bucket"])
     unequal = [F.when((F.col(f"__h{i}l") != 0) | (F.col(f"__h{i}u") != 0), 1 << i).otherwise(0) for i in range(len(fields) + 1)]
     mask = reduce(lambda a, b: a.bitwiseOR(b), unequal)
     return sums.select("bucket", mask.cast("long").alias("mask")).where(F.col("mask") != 0)
