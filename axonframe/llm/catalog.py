@@ -7,9 +7,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from axonframe.llm import queries_spans
+from axonframe.llm import queries_mixing, queries_packing, queries_spans, queries_top
 
-_MODULES = (queries_spans,)
+_MODULES = (queries_top, queries_packing, queries_mixing, queries_spans)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
