@@ -93,8 +93,8 @@ def pack_documents(documents: DataFrame, cap: Capacity = Capacity(), doc: str =
     """Every document in containers: ``container``, ``doc_id``, ``piece``, ``start``, ``n_tokens``.
 
     A document is cut only if it exceeds a container: into full containers and a remainder (``piece`` 0, 1, ...; ``start``
-    is the piece's first token). Sizes alone are shuffled, never texts. Items are packed in shards of about ``shard_items`` by a
-    hash of their id, so no task grows with the data; the least filled containers of all shards (under nine
+    is the piece's first token). Sizes alone are shuffled, never texts. Items are packed in shards of about ``shard_items``, so
+    no task grows with the data; the least filled containers of all shards (under nine
     tenths) are opened again and packed once more together, in fewer shards.
 
     A null or empty text is one token. Rows with one id are packed as separate documents of that id; a null id is kept. An empty table
@@ -108,13 +108,19 @@ def pack_documents(documents: DataFrame, cap: Capacity = Capacity(), doc: str =
     filled = pieces.where(F.col("n_tokens") == cap.tokens).select(F.monotonically_increasing_id().alias("bin"), F.lit(-1).cast("long").alias("shard"), "item_id", "piece", "start", "n_tokens")
     part = cut_lineage(pieces.where(F.col("n_tokens") < cap.tokens))
     shards = max(1, math.ceil(part.count() / shard_items))
-    spread = lambda df, k: df.withColumn("shard", F.pmod(F.xxhash64(F.lit(k), "item_id", "piece", "n_tokens"), F.lit(shards if k == 0 else max(1, shards // 16))))
-    first = cut_lineage(spread(part, 0).groupBy("shard").applyInPandas(_pack_shard(cap), _PLACED))
+
+    def spread(df: DataFrame, n: int, salt: int) -> DataFrame:
+        """Rows of a written table by shard, each shard in a partition of its own: packing is work, however few the bytes are. The shard follows
+        from the row's place, so that rows of one id spread too."""
+        shard = F.pmod(F.xxhash64(F.lit(salt), F.monotonically_increasing_id()), F.lit(n)).cast("int")
+        return df.withColumn("shard", shard).repartitionById(n, F.col("shard")).groupBy("shard")
+
+    first = cut_lineage(spread(part, shards, 0).applyInPandas(_pack_shard(cap), _PLACED))
     fill = first.groupBy("shard", "bin").agg(F.sum("n_tokens").alias("t"), F.count(F.lit(1)).alias("d"))
     loose = fill.where((F.col("t") < 0.9 * cap.tokens) & (F.col("d") < cap.documents)).select("shard", "bin", F.lit(True).alias("loose"))
     marked = cut_lineage(first.join(loose, ["shard", "bin"], "left"))
     kept = marked.where("loose is null").drop("loose")
-    again = spread(marked.where("loose").drop("shard", "bin", "loose"), 1).groupBy("shard").applyInPandas(_pack_shard(cap), _PLACED).withColumn("shard", -2 - F.col("shard"))
+    again = spread(marked.where("loose").drop("shard", "bin", "loose"), max(1, shards // 16), 1).applyInPandas(_pack_shard(cap), _PLACED).withColumn("shard", -2 - F.col("shard"))
     placed = filled.unionByName(kept).unionByName(again)
     name = F.concat_ws("-", F.when(F.col("shard") == -1, "f").when(F.col("shard") >= 0, "s").otherwise("t"), F.abs(F.col("shard")).cast("string"), F.col("bin").cast("string"))
     return placed.select(name.alias("container"), F.col("item_id").alias("doc_id"), "piece", "start", "n_tokens")
