@@ -76,7 +76,7 @@ def mix_sources(
 
     Mixture: ``doc_id``, ``source``, ``n_tokens``, ``copies`` for every document taken. Report, one row per source of ``targets``
     (``source``, ``target_share``, ``max_repeat``): ``n_tokens`` there, ``quota_tokens`` given, ``mixed_tokens`` taken, ``actual_share`` of all
-    tokens taken, ``reachable``, whether the source can fill its share without exceeding its repeats.
+    tokens taken, ``short``, whether that is less than its share of the mixture's size, ``reachable``, whether the source can fill its share without exceeding its repeats.
 
     Blocks of equal tokens go to the sources by highest quotients, capped by their repeats; a capped source's blocks go to
     the others. A source's quota is split over shards of documents by the same rule, and a shard takes its documents in an order
@@ -114,4 +114,4 @@ def mix_sources(
     report = head.join(mixed, "source", "left").withColumn("mixed_tokens", F.coalesce("mixed_tokens", F.lit(0).cast("long")))
     share = F.try_divide("mixed_tokens", F.sum("mixed_tokens").over(Window.partitionBy(F.lit(1))))
     reachable = F.col("max_repeat") * F.col("n_tokens") >= F.col("target_share") * total
-    return taken, report.select("source", "target_share", "max_repeat", "n_tokens", (F.col("quota") * block).alias("quota_tokens"), "mixed_tokens", share.alias("actual_share"), reachable.alias("reachable"))
+    return taken, report.select("source", "target_share", "max_repeat", "n_tokens", (F.col("quota") * block).alias("quota_tokens"), "mixed_tokens", share.alias("actual_share"), (F.col("mixed_tokens") < F.col("target_share") * total).alias("short"), reachable.alias("reachable"))

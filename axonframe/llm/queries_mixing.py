@@ -23,7 +23,8 @@ def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p7_report(spark, sf_dir).where("not reachable").select("source")
+    """Sources that the mixture left short and that no mixture could fill."""
+    return p7_report(spark, sf_dir).where("short and not reachable").select("source")
 
 
 QUERIES = {"p7_found": p7_found, "p7_mixture": p7_mixture, "p7_report": p7_report}
