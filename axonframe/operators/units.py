@@ -36,10 +36,10 @@ BOX_SLACK = 1e-6
 def edit_distance(a: str, b: str, plural: float = 0.1, mark: float = 0.1, swap: float = 0.3) -> float:
     """Weighted edit distance of two folded spellings.
 
-    A final ``s`` and characters that are no letters cost little, swapped neighbours (``er``/``re``) less than two
+    A final ``s`` and blanks and punctuation cost little, swapped neighbours (``er``/``re``) less than two
     edits, anything else 1.
     """
-    weight = lambda s, i: plural if s[i] == "s" and i == len(s) - 1 else 1.0 if s[i].isalpha() else mark
+    weight = lambda s, i: plural if s[i] == "s" and i == len(s) - 1 else 1.0 if s[i].isalnum() else mark
     rows = [[0.0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) + 1):
         for j in range(len(b) + 1):
