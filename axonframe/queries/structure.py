@@ -242,3 +242,42 @@ def rle_payload_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     packed = _runs(spark, sf_dir).withColumn("id", F.col("z").cast("long")).groupBy("id").applyInPandas(pack, "id bigint, payload binary")
     return V.decode_payloads(packed)
+
+
+# ---- graph patterns and catalogs
+
+
+def _pattern_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Synapse rows as a property graph: each row is two synapse nodes, one at either end."""
+    syn = table(spark, sf_dir, "synapses").where("id is not null and pre is not null and post is not null").groupBy("id").agg(F.min("pre").alias("pre"), F.min("post").alias("post"), *[F.min(f"{s}_{a}").alias(f"{s}_{a}") for s in ("pre", "post") for a in "xyz"], F.min("nt").alias("nt"))
+    node = lambda s: F.concat(F.col("id").cast("string"), F.lit(s))
+    contains = syn.select(F.col("pre").alias("neuron"), node("a").alias("synapse")).unionByName(syn.select(F.col("post").alias("neuron"), node("b").alias("synapse")))
+    nodes = syn.select(node("a").alias("synapse"), *[F.col(f"pre_{a}").alias(a) for a in "xyz"], "nt").unionByName(syn.select(node("b").alias("synapse"), *[F.col(f"post_{a}").alias(a) for a in "xyz"], F.lit(None).cast("string").alias("nt")))
+    return contains, nodes, syn.select(node("a").alias("pre_synapse"), node("b").alias("post_synapse"))
+
+
+@query("SELECT min(pre) AS pre, min(post) AS post, min(pre_x) AS pre_x, min(post_z) AS post_z, min(nt) AS nt FROM synapses WHERE id IS NOT NULL AND pre IS NOT NULL AND post IS NOT NULL GROUP BY id")
+def graph_pattern_synapses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from axonframe.sources.graph_store import pattern_synapses
+
+    return pattern_synapses(*_pattern_inputs(spark, sf_dir)).select("pre", "post", "pre_x", "post_z", "nt")
+
+
+@query("SELECT DISTINCT CAST(cx AS INT) AS cx, CAST(y AS INT) AS cy, CAST(cz AS INT) AS cz FROM (SELECT cx, unnest([cy * 2, cy * 2 + 1]) AS y, cz FROM labels)", "labels")
+def occupied_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Storage blocks of 64 voxels under the graph chunks of labels, two scales coarser."""
+    from axonframe.operators.dense_read import occupied_blocks as blocks
+
+    c = F.col
+    label = L.make_label(F.lit(2), c("cx"), c("cy"), c("cz"), c("seg") % 67108864)
+    return blocks(derived(spark, sf_dir, "labels").select(label.alias("label")), (256, 512, 64), (64, 64, 64), (4, 4, 1))
+
+
+@query(None)
+def capability_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each public dataset can serve through each of its stores."""
+    from axonframe.model.datasets import register_public
+    from axonframe.model.registry import capability_matrix as matrix
+
+    register_public()
+    return matrix(spark)
