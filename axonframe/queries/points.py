@@ -65,7 +65,7 @@ def p4_synapses_nm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stored synapse row with its points in nanometres."""
     df = synapse_units(table(spark, sf_dir, "synapses"), table(spark, sf_dir, "feeds"))
     points = [U.to_nm(U.finite(F.col(f"{s}_{a}")), F.col(f"{s}_found"), a).alias(f"{s}_{a}_nm") for s in ("pre", "post") for a in U.AXES]
-    return df.select("id", "loaded_at", F.col("pre_found").alias("pre_unit"), F.col("post_found").alias("post_unit"), *points)
+    return df.select("id", F.unix_micros("loaded_at").alias("loaded_us"), F.col("pre_found").alias("pre_unit"), F.col("post_found").alias("post_unit"), *points)
 
 
 def p4_somas_nm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,6 +131,6 @@ ORACLES = {
         SELECT 'synapses' AS tab, id AS rec_id, 'pre' AS site, pre_unit AS unit FROM last WHERE pre_unit <> 'nm'
         UNION ALL SELECT 'synapses', id, 'post', post_unit FROM last WHERE post_unit <> 'nm'
         UNION ALL SELECT DISTINCT 'annotations', id, 'soma', unit FROM a2 WHERE unit <> 'nm'""",
-    "p4_synapses_nm": f"WITH {_SYN_SQL} SELECT id, loaded_at, pre_unit, post_unit, {', '.join(_nm_sql(f'{s}_{a}', f'{s}_unit', a) for s in _SITE for a in U.AXES)} FROM s2",
+    "p4_synapses_nm": f"WITH {_SYN_SQL} SELECT id, epoch_us(loaded_at) AS loaded_us, pre_unit, post_unit, {', '.join(_nm_sql(f'{s}_{a}', f'{s}_unit', a) for s in _SITE for a in U.AXES)} FROM s2",
     "p4_somas_nm": f"WITH {_ANN_SQL} SELECT id, unit, {', '.join(_nm_sql(f's_{a}', 'unit', a).replace(f's_{a}_nm', f'{a}_nm') for a in U.AXES)} FROM a2",
 }

@@ -72,13 +72,18 @@ def is_proofread(spark: SparkSession, sf_dir: str) -> DataFrame:
 _INTERVALS = "iv AS (SELECT sv, root, d AS f, lead(d) OVER (PARTITION BY sv ORDER BY d, k) AS t FROM changes), spans AS (SELECT * FROM iv WHERE t IS NULL OR f < t)"
 
 
+def _micros(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.unix_micros(c) for c in columns})
+
+
 def _intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.intervals_from_changes(derived(spark, sf_dir, "changes"), "sv", "root", "d", "k")
 
 
-@query(f"WITH {_INTERVALS} SELECT sv AS supervoxel, root, f AS valid_from, t AS valid_to FROM spans", "changes")
+@query(f"WITH {_INTERVALS} SELECT sv AS supervoxel, root, epoch_us(f) AS valid_from, epoch_us(t) AS valid_to FROM spans", "changes")
 def graph_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _intervals(spark, sf_dir)
+    """Intervals with their ends in microseconds."""
+    return _micros(_intervals(spark, sf_dir), "valid_from", "valid_to")
 
 
 @query(f"WITH {_INTERVALS}, p AS (SELECT DISTINCT sv, version, timestamp FROM changes, versions) SELECT p.sv AS supervoxel, version, CASE WHEN p.sv = 0 THEN 0 ELSE s.root END AS root FROM p LEFT JOIN spans s ON s.sv = p.sv AND f <= timestamp AND (t IS NULL OR timestamp < t)", "changes", "versions")
@@ -97,9 +102,9 @@ def _wanted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held.select(F.col("root").alias("id")).distinct().orderBy("id").limit(2)
 
 
-@query(f"WITH {_INTERVALS}, {_WANTED} SELECT version, timestamp FROM (SELECT version, timestamp, count(DISTINCT s.root) AS n FROM versions JOIN spans s ON f <= timestamp AND (t IS NULL OR timestamp < t) WHERE s.root IN (SELECT root FROM want) GROUP BY ALL) WHERE n = (SELECT count(*) FROM want) ORDER BY timestamp DESC LIMIT 1", "changes", "versions")
+@query(f"WITH {_INTERVALS}, {_WANTED} SELECT version, epoch_us(timestamp) AS timestamp FROM (SELECT version, timestamp, count(DISTINCT s.root) AS n FROM versions JOIN spans s ON f <= timestamp AND (t IS NULL OR timestamp < t) WHERE s.root IN (SELECT root FROM want) GROUP BY ALL) WHERE n = (SELECT count(*) FROM want) ORDER BY version DESC LIMIT 1", "changes", "versions")
 def newest_version_of_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return newest_joint_version(_wanted(spark, sf_dir), _intervals(spark, sf_dir), derived(spark, sf_dir, "versions"))
+    return _micros(newest_joint_version(_wanted(spark, sf_dir), _intervals(spark, sf_dir), derived(spark, sf_dir, "versions")), "timestamp")
 
 
 @query(f"""WITH {_INTERVALS}, live AS (SELECT sv, root AS new_id FROM spans WHERE t IS NULL), ids AS (SELECT DISTINCT root FROM spans),
@@ -126,9 +131,9 @@ def supervoxels_of_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("root", F.size("supervoxels").cast("long").alias("n"), text.alias("supervoxels"))
 
 
-@query(f"WITH {_INTERVALS}, {_WANTED}, s AS (SELECT root, min(f) AS f, CASE WHEN count(*) = count(t) THEN max(t) END AS t FROM spans WHERE root IN (SELECT root FROM want) GROUP BY root) SELECT max(f) AS valid_from, min(t) AS valid_to FROM s HAVING min(t) IS NULL OR max(f) < min(t)", "changes")
+@query(f"WITH {_INTERVALS}, {_WANTED}, s AS (SELECT root, min(f) AS f, CASE WHEN count(*) = count(t) THEN max(t) END AS t FROM spans WHERE root IN (SELECT root FROM want) GROUP BY root) SELECT epoch_us(max(f)) AS valid_from, epoch_us(min(t)) AS valid_to FROM s HAVING min(t) IS NULL OR max(f) < min(t)", "changes")
 def common_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.common_time(_wanted(spark, sf_dir), _intervals(spark, sf_dir))
+    return _micros(G.common_time(_wanted(spark, sf_dir), _intervals(spark, sf_dir)), "valid_from", "valid_to")
 
 
 # ---- volumes
