@@ -73,7 +73,7 @@ _INTERVALS = "iv AS (SELECT sv, root, d AS f, lead(d) OVER (PARTITION BY sv ORDE
 
 
 def _micros(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.unix_micros(c) for c in columns})
+    return df.withColumns({c: F.unix_micros(F.col(c).cast("timestamp")) for c in columns})
 
 
 def _intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
