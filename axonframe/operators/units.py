@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from axonframe.plans import cut_lineage, lookup_join
+from axonframe.plans import BROADCAST_ROWS, bounded_count, cut_lineage, lookup_join
 
 #: Full names of each unit.
 UNIT_NAMES = {
@@ -100,16 +101,32 @@ def words(c: Column) -> Column:
     return F.regexp_extract_all(kept, F.lit(r"[\p{L}µ_]+"), F.lit(0))
 
 
-def text_statements(texts: DataFrame, column: str) -> DataFrame:
+@dataclass(frozen=True)
+class Aliases:
+    """A written alias dictionary, ``folded`` and ``unit``, and whether it is small enough to be broadcast."""
+
+    table: DataFrame
+    small: bool
+
+
+def build_aliases(spellings: list[tuple[DataFrame, str]], texts: list[tuple[DataFrame, str]]) -> Aliases:
+    """One dictionary of all the spellings in columns that hold a unit and of the words in columns of text."""
+    parts = [df.select(fold_unit(F.col(c)).alias("folded")).distinct() for df, c in spellings]
+    parts += [df.select(c).where(F.trim(c) != "").distinct().select(F.explode(F.transform(words(F.col(c)), fold_unit)).alias("folded")) for df, c in texts]
+    table = cut_lineage(alias_dictionary(reduce(DataFrame.unionByName, parts), "folded"))
+    return Aliases(table, bounded_count(table, BROADCAST_ROWS) <= BROADCAST_ROWS)
+
+
+def text_statements(texts: DataFrame, column: str, aliases: Aliases | None = None) -> DataFrame:
     """What each distinct text says: ``column``, ``__pre_unit``, ``__post_unit``, ``__any_unit``; texts that name no unit are left out.
 
     A text that speaks of one site only (``pre``, ``presynaptic``, ``pre_x`` ...) states that site's unit, any other the
     unit of coordinates in general. A number before a unit is a measure and states nothing. The first unit named counts.
     """
+    aliases = aliases or build_aliases([], [(texts, column)])
     distinct = texts.select(column).where(F.trim(column) != "").distinct()
-    tokens = distinct.select(column, F.posexplode(words(F.col(column))).alias("at", "word"))
-    aliases = alias_dictionary(tokens, "word")
-    tokens = lookup_join(tokens.withColumn("folded", fold_unit(F.col("word"))), aliases, "folded")
+    tokens = distinct.select(column, F.posexplode(words(F.col(column))).alias("at", "word")).withColumn("folded", fold_unit(F.col("word")))
+    tokens = lookup_join(tokens, aliases.table, "folded", small=aliases.small)
     site = lambda s: F.max(F.col("folded").rlike(rf"^{s}(synap\w*|_[xyz])?$"))
     said = tokens.groupBy(column).agg(F.min_by("unit", F.when(F.col("unit").isNotNull(), F.col("at"))).alias("unit"), site("pre").alias("p"), site("post").alias("q")).where("unit is not null")
     return said.select(
@@ -120,10 +137,10 @@ def text_statements(texts: DataFrame, column: str) -> DataFrame:
     )
 
 
-def column_units(df: DataFrame, column: str, to: str) -> DataFrame:
+def column_units(df: DataFrame, column: str, to: str, aliases: Aliases) -> DataFrame:
     """Add ``to``: the unit that ``column`` spells, or null."""
-    aliases = cut_lineage(alias_dictionary(df, column)).select(F.col("folded").alias("__folded"), F.col("unit").alias(to))
-    return lookup_join(df.withColumn("__folded", fold_unit(F.col(column))), aliases, "__folded").drop("__folded")
+    table = aliases.table.select(F.col("folded").alias("__folded"), F.col("unit").alias(to))
+    return lookup_join(df.withColumn("__folded", fold_unit(F.col(column))), table, "__folded", small=aliases.small).drop("__folded")
 
 
 def finite(c: Column) -> Column:
@@ -136,36 +153,51 @@ def factor(unit: str, axis: str) -> Column:
     return F.col(f"voxel_{axis}") if unit == "voxel" else F.lit(NM_PER[unit])
 
 
-def resolve_unit(point: dict[str, Column], stated: Column) -> Column:
-    """The unit that holds for a point: the stated one unless it puts a recorded axis outside the feed's box, then the
-    one unit that puts the point inside; the stated one where none or several do. Needs the columns of the feed.
-    Null without any coordinate. A feed without a box leaves the stated unit.
-    """
-
-    def inside(unit: str) -> Column:
-        ok = []
-        for a, c in point.items():
-            v = c * factor(unit, a)
-            low, high = F.col(f"box_min_{a}"), F.col(f"box_max_{a}")
-            ok.append(F.coalesce(v.between(low - F.abs(low) * BOX_SLACK, high + F.abs(high) * BOX_SLACK), F.lit(True)))
-        return reduce(lambda x, y: x & y, ok)
+def unit_name(code: Column) -> Column:
+    """The unit of a code, its place in ``UNITS``."""
+    return F.get(F.array(*map(F.lit, UNITS)), code)
 
-    fits = {u: inside(u) for u in UNITS}
-    stated_fits = F.coalesce(reduce(lambda e, u: F.when(stated == u, fits[u]).otherwise(e), UNITS, F.lit(False)), F.lit(False))
-    n_fit = reduce(lambda x, y: x + y, [f.cast("int") for f in fits.values()])
-    only = F.coalesce(*[F.when(fits[u], F.lit(u)) for u in UNITS])
-    has = reduce(lambda x, y: x | y, [c.isNotNull() for c in point.values()])
-    return F.when(has, F.when(stated_fits | (n_fit != 1), stated).otherwise(only))
 
+def resolve_units(df: DataFrame, sites: dict[str, tuple[dict[str, Column], Column]]) -> DataFrame:
+    """Add, for each site (its axes and its stated unit), ``<site>_code``, the unit that holds, as its place in ``UNITS``; and the axes as
+    ``<site>__x`` ..., doubles without NaN.
 
-def to_nm(value: Column, unit: Column, axis: str) -> Column:
+    The stated unit holds unless it puts a recorded axis outside the feed's box; then the one unit that puts the point inside;
+    the stated one where none or several do. Null without any coordinate, and where no unit is stated and none is the only one. A feed
+    without a box refuses nothing. ``df`` needs the columns of ``feed_join``.
+    """
+    names = F.array(*map(F.lit, UNITS))
+    df = df.withColumns({f"{s}__{a}": finite(c) for s, (point, _) in sites.items() for a, c in point.items()} | {f"__{s}_said": F.nullif(F.array_position(names, said), F.lit(0)).cast("int") - 1 for s, (_, said) in sites.items()})
+    masks = {}
+    for s in sites:
+        axes = [F.col(f"{s}__{a}") for a in AXES]
+        fits = []
+        for a, v in zip(AXES, axes, strict=True):
+            outside = [(v * factor(u, a) < F.col(f"__low_{a}")) | (v * factor(u, a) > F.col(f"__high_{a}")) for u in UNITS]
+            fits.append(reduce(lambda x, y: x + y, [F.when(out, 0).otherwise(1 << i) for i, out in enumerate(outside)]))
+        masks[f"__{s}_fits"] = F.when(F.coalesce(*axes).isNotNull(), fits[0].bitwiseAND(fits[1]).bitwiseAND(fits[2]))
+    df = df.withColumns(masks)
+
+    def holds(s: str) -> Column:
+        fits, said = F.col(f"__{s}_fits"), F.col(f"__{s}_said")
+        as_said = F.coalesce(F.get(F.array(*[fits.bitwiseAND(1 << i) != 0 for i in range(len(UNITS))]), said), F.lit(False))
+        only = F.coalesce(*[F.when(fits == 1 << i, F.lit(i)) for i in range(len(UNITS))])
+        return F.when(fits.isNotNull(), F.when(as_said, said).otherwise(F.coalesce(only, said)))
+
+    return df.withColumns({f"{s}_code": holds(s) for s in sites})
+
+
+def to_nm(value: Column, code: Column, axis: str) -> Column:
     """A coordinate in nanometres; null where the unit is unknown."""
-    return reduce(lambda e, u: F.when(unit == u, value * factor(u, axis)).otherwise(e), UNITS, F.lit(None).cast("double"))
+    return value * F.get(F.array(*[factor(u, axis) for u in UNITS]), code)
 
 
 def feed_join(df: DataFrame, feeds: DataFrame) -> DataFrame:
-    """Add the feed's voxel size, box and default unit."""
-    return lookup_join(df, feeds.dropDuplicates(["feed"]), "feed")
+    """Add the feed's voxel size, box (a little wider, for rounding) and default unit."""
+    slack = lambda c, sign: (F.col(c) + sign * F.abs(F.col(c)) * BOX_SLACK)
+    box = [slack(f"box_{m}_{a}", k).alias(f"__{n}_{a}") for a in AXES for m, n, k in (("min", "low", -1), ("max", "high", 1))]
+    known = feeds.where("feed is not null").dropDuplicates(["feed"]).select("feed", "default_unit", *[f"voxel_{a}" for a in AXES], *box)
+    return lookup_join(df, known, "feed")
 
 
 def numbers(c: Column) -> Column:

@@ -16,13 +16,15 @@ def bounded_count(df: DataFrame, most: int) -> int:
     return df.limit(most + 1).count()
 
 
-def lookup_join(df: DataFrame, table: DataFrame, on: str, how: str = "left", most: int = BROADCAST_ROWS) -> DataFrame:
+def lookup_join(df: DataFrame, table: DataFrame, on: str, how: str = "left", most: int = BROADCAST_ROWS, small: bool | None = None) -> DataFrame:
     """Join ``table``, unique in ``on``, to all rows of ``df``.
 
-    The table is broadcast when it has at most ``most`` rows. A larger one is shuffled; rows of ``df``
+    The table is broadcast when it has at most ``most`` rows, which is counted unless ``small`` says so already. A larger one is shuffled; rows of ``df``
     without a key, which match nothing, are then spread by a salt instead of meeting in one task.
     """
-    if bounded_count(table, most) <= most:
+    if small is None:
+        small = bounded_count(table, most) <= most
+    if small:
         return df.join(F.broadcast(table), on, how)
     if how != "left":
         return df.join(table, on, how)
@@ -33,14 +35,14 @@ def lookup_join(df: DataFrame, table: DataFrame, on: str, how: str = "left", mos
     return df.where(F.col(on).isNotNull()).join(table, on, how).unionByName(salted)
 
 
-def skew_safe_join(df: DataFrame, states: DataFrame, on: str, n_rows: Column, total: int) -> DataFrame:
+def skew_safe_join(df: DataFrame, states: DataFrame, on: str, n_rows: Column, total: int, n_states: int | None = None) -> DataFrame:
     """Inner join of ``df`` to one state per group, with no task holding a hot group.
 
-    ``n_rows`` gives, in ``states``, the rows of the group in ``df`` and ``total`` all rows of ``df``. Groups
+    ``n_rows`` gives, in ``states``, the rows of the group in ``df`` and ``total`` all rows of ``df``; ``n_states``, if known, saves counting the states. Groups
     over ``total / HOT_GROUPS`` rows number fewer than ``HOT_GROUPS``, which bounds the broadcast; they are joined
     where their rows lie. The other groups are shuffled.
     """
-    if bounded_count(states, BROADCAST_ROWS) <= BROADCAST_ROWS:
+    if (bounded_count(states, BROADCAST_ROWS) if n_states is None else n_states) <= BROADCAST_ROWS:
         return df.join(F.broadcast(states), on)
     hot = n_rows > F.lit(total / HOT_GROUPS)
     few, rest = states.where(hot), states.where(~hot)

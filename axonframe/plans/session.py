@@ -11,6 +11,17 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
+#: The JVM compiles no method beyond this many bytes of bytecode. A stage whose fused method is larger runs interpreted, many times slower
+#: than its operators one by one.
+_HUGE_METHOD = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Set what any plan here gains from, unless the session sets it."""
+    key, value = _HUGE_METHOD
+    if spark.conf.get(key, None) in (None, "65535"):
+        spark.conf.set(key, value)
+    return spark
 
 
 def build_session(master: str = "local[*]", **conf: str) -> SparkSession:
@@ -21,4 +32,4 @@ def build_session(master: str = "local[*]", **conf: str) -> SparkSession:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a data folder."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")

@@ -11,67 +11,80 @@ from axonframe.plans import cut_lineage, lookup_join
 from axonframe.plans.session import table
 
 
-def synapse_units(synapses: DataFrame, feeds: DataFrame) -> DataFrame:
-    """All rows (id, delivery, points) with ``pre_found`` and ``post_found``, the unit of each site, and the columns of the feed."""
+def _noted(df: DataFrame, column: str) -> DataFrame:
+    return df.withColumn("__note", F.when(F.trim(column) != "", F.col(column)))
+
+
+def _phrase(df: DataFrame) -> DataFrame:
+    return df.withColumn("__phrase", F.when(U.phrase(F.col("soma_text")) != "", U.phrase(F.col("soma_text"))))
+
+
+def aliases_of(synapses: DataFrame | None, annotations: DataFrame | None) -> U.Aliases:
+    """The dictionary of all unit spellings in the two tables."""
+    units, texts = [], []
+    if synapses is not None:
+        units.append((synapses, "unit"))
+        texts.append((synapses, "note"))
+    if annotations is not None:
+        units += [(annotations, "soma_unit"), (_phrase(annotations), "__phrase")]
+        texts.append((annotations, "remark"))
+    return U.build_aliases(units, texts)
+
+
+def synapse_units(synapses: DataFrame, feeds: DataFrame, aliases: U.Aliases | None = None) -> DataFrame:
+    """All rows (id, delivery, points) with ``pre_code`` and ``post_code``, the unit of each site, and the columns of the feed."""
+    aliases = aliases or aliases_of(synapses, None)
     points = [f"{s}_{a}" for s in ("pre", "post") for a in U.AXES]
-    df = synapses.select("id", "loaded_at", "feed", "unit", "note", *points).withColumn("__note", F.when(F.trim("note") != "", F.col("note")))
-    said = cut_lineage(U.text_statements(df, "__note"))
-    df = U.column_units(lookup_join(df, said, "__note"), "unit", "__unit")
+    df = _noted(synapses.select("id", "loaded_at", "feed", "unit", "note", *points), "note")
+    said = cut_lineage(U.text_statements(df, "__note", aliases))
+    df = U.column_units(lookup_join(df, said, "__note"), "unit", "__unit", aliases)
     df = U.feed_join(df, feeds)
-    for site in ("pre", "post"):
-        stated = F.coalesce(f"__{site}_unit", "__unit", "__any_unit", "default_unit")
-        df = df.withColumn(f"{site}_found", U.resolve_unit({a: U.finite(F.col(f"{site}_{a}")) for a in U.AXES}, stated))
-    return df
+    stated = {s: F.coalesce(f"__{s}_unit", "__unit", "__any_unit", "default_unit") for s in ("pre", "post")}
+    return U.resolve_units(df, {s: ({a: F.col(f"{s}_{a}") for a in U.AXES}, said) for s, said in stated.items()})
 
 
-def soma_units(annotations: DataFrame, feeds: DataFrame) -> DataFrame:
-    """All rows with ``soma_found`` and the soma's axes ``s_x``, ``s_y``, ``s_z`` as recorded, from the text where the columns are empty."""
+def soma_units(annotations: DataFrame, feeds: DataFrame, aliases: U.Aliases | None = None) -> DataFrame:
+    """All rows with ``soma_code`` and the soma's axes ``soma__x``, ``soma__y``, ``soma__z`` as recorded, from the text where the columns are empty."""
+    aliases = aliases or aliases_of(None, annotations)
     df = annotations.select("id", "updated_at", "feed", "soma_x", "soma_y", "soma_z", "soma_unit", "soma_text", "remark")
-    df = df.withColumn("__note", F.when(F.trim("remark") != "", F.col("remark")))
-    df = df.withColumn("__phrase", F.when(U.phrase(F.col("soma_text")) != "", U.phrase(F.col("soma_text"))))
-    df = lookup_join(df, cut_lineage(U.text_statements(df, "__note")), "__note")
-    df = U.column_units(df, "soma_unit", "__unit")
-    df = U.column_units(df, "__phrase", "__text_unit")
+    df = _phrase(_noted(df, "remark"))
+    df = lookup_join(df, cut_lineage(U.text_statements(df, "__note", aliases)), "__note")
+    df = U.column_units(df, "soma_unit", "__unit", aliases)
+    df = U.column_units(df, "__phrase", "__text_unit", aliases)
     df = U.feed_join(df, feeds)
     given = {a: U.finite(F.col(f"soma_{a}")) for a in U.AXES}
-    none = given["x"].isNull() & given["y"].isNull() & given["z"].isNull()
     told = U.numbers(F.col("soma_text"))
-    told = F.when(none & (F.size(told) == 3), told)
-    df = df.withColumns({f"s_{a}": F.coalesce(given[a], told[i]) for i, a in enumerate(U.AXES)})
-    general = F.coalesce("__any_unit", "__pre_unit", "__post_unit")
-    stated = F.coalesce(F.col("__text_unit"), F.col("__unit"), general, F.col("default_unit"))
-    return df.withColumn("soma_found", U.resolve_unit({a: F.col(f"s_{a}") for a in U.AXES}, stated))
+    df = df.withColumn("__told", F.when(F.coalesce(*given.values()).isNull() & (F.size(told) == 3), told))
+    point = {a: F.coalesce(given[a], F.get("__told", F.lit(i))) for i, a in enumerate(U.AXES)}
+    said = F.coalesce("__text_unit", "__unit", "__any_unit", "__pre_unit", "__post_unit", "default_unit")
+    return U.resolve_units(df, {"soma": (point, said)})
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feeds = table(spark, sf_dir, "feeds")
-    syn = synapse_units(table(spark, sf_dir, "synapses"), feeds).where("id is not null")
+    feeds, syn, ann = (table(spark, sf_dir, t) for t in ("feeds", "synapses", "annotations"))
+    aliases = aliases_of(syn, ann)
+    syn = synapse_units(syn, feeds, aliases).where("id is not null")
     last = recency()
-    syn = syn.groupBy("id").agg(*[F.max_by(_code(f"{s}_found"), last).alias(s) for s in ("pre", "post")])
+    syn = syn.groupBy("id").agg(*[F.max_by(f"{s}_code", last).alias(s) for s in ("pre", "post")])
     syn = syn.select("id", F.explode(F.array(*[F.struct(F.lit(s).alias("site"), F.col(s).alias("code")) for s in ("pre", "post")])).alias("e"))
-    ann = soma_units(table(spark, sf_dir, "annotations"), feeds).where("id > 0")
-    ann = ann.groupBy("id").agg(F.max_by(_code("soma_found"), F.coalesce("updated_at", F.lit("0001-01-01").cast("timestamp"))).alias("code"))
+    ann = soma_units(ann, feeds, aliases).where("id > 0")
+    ann = ann.groupBy("id").agg(F.max_by("soma_code", F.coalesce("updated_at", F.lit("0001-01-01").cast("timestamp"))).alias("code"))
     rows = syn.select(F.lit("synapses").alias("tab"), F.col("id").alias("rec_id"), "e.site", "e.code")
     rows = rows.unionByName(ann.select(F.lit("annotations").alias("tab"), F.col("id").alias("rec_id"), F.lit("soma").alias("site"), "code"))
-    return rows.where("code > 0").select("tab", "rec_id", "site", F.element_at(F.array(*map(F.lit, U.UNITS)), F.col("code") + 1).alias("unit"))
-
-
-def _code(column: str):
-    """A unit as a small number, so that the aggregation keeps fixed-width states; null stays null."""
-    return F.when(F.col(column).isNotNull(), F.array_position(F.array(*map(F.lit, U.UNITS)), F.col(column)).cast("int") - 1)
+    return rows.where("code > 0").select("tab", "rec_id", "site", U.unit_name(F.col("code")).alias("unit"))
 
 
 def p4_synapses_nm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stored synapse row with its points in nanometres."""
     df = synapse_units(table(spark, sf_dir, "synapses"), table(spark, sf_dir, "feeds"))
-    points = [U.to_nm(U.finite(F.col(f"{s}_{a}")), F.col(f"{s}_found"), a).alias(f"{s}_{a}_nm") for s in ("pre", "post") for a in U.AXES]
-    return df.select("id", F.unix_micros("loaded_at").alias("loaded_us"), F.col("pre_found").alias("pre_unit"), F.col("post_found").alias("post_unit"), *points)
+    points = [U.to_nm(F.col(f"{s}__{a}"), F.col(f"{s}_code"), a).alias(f"{s}_{a}_nm") for s in ("pre", "post") for a in U.AXES]
+    return df.select("id", F.unix_micros("loaded_at").alias("loaded_us"), U.unit_name(F.col("pre_code")).alias("pre_unit"), U.unit_name(F.col("post_code")).alias("post_unit"), *points)
 
 
 def p4_somas_nm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stored annotation row that has an id, with its soma in nanometres."""
     df = soma_units(table(spark, sf_dir, "annotations"), table(spark, sf_dir, "feeds")).where("id > 0")
-    return df.select("id", F.col("soma_found").alias("unit"), *[U.to_nm(F.col(f"s_{a}"), F.col("soma_found"), a).alias(f"{a}_nm") for a in U.AXES])
+    return df.select("id", U.unit_name(F.col("soma_code")).alias("unit"), *[U.to_nm(F.col(f"soma__{a}"), F.col("soma_code"), a).alias(f"{a}_nm") for a in U.AXES])
 
 
 QUERIES = {"p4_found": p4_found, "p4_synapses_nm": p4_synapses_nm, "p4_somas_nm": p4_somas_nm}

@@ -72,7 +72,8 @@ def test_units_of_synapses(spark):
     flat = [(i, *a, *b, u, n, f, dt.datetime(2024, 1, 1)) for i, a, b, u, n, f in rows]
     df = spark.createDataFrame(flat, "id bigint, " + ", ".join(f"{s}_{a} double" for s in ("pre", "post") for a in "xyz") + ", unit string, note string, feed string, loaded_at timestamp")
     df = df.withColumn("voxel_x", F.lit(1)).withColumn("folded", F.lit("x"))
-    got = {r.id: (r.pre_found, r.post_found) for r in points.synapse_units(df, spark.createDataFrame(FEEDS, FEED_SCHEMA)).collect()}
+    name = lambda c: None if c is None else U.UNITS[c]
+    got = {r.id: (name(r.pre_code), name(r.post_code)) for r in points.synapse_units(df, spark.createDataFrame(FEEDS, FEED_SCHEMA)).collect()}
     assert got == {1: ("nm", "nm"), 2: ("um", "um"), 3: ("um", "nm"), 4: ("nm", "voxel"), 5: (None, None), 6: ("nm", "nm"), 7: ("nm", "nm"), 8: ("voxel", "nm"), 9: ("nm", "nm")}
     assert points.synapse_units(df.limit(0), spark.createDataFrame(FEEDS, FEED_SCHEMA)).count() == 0
 
@@ -83,7 +84,8 @@ def test_units_of_somas(spark):
         (4, None, None, None, None, "n/a", None, "f"), (5, None, None, None, None, "50000 40000 5000", "coords nm, from sheet", "v"), (6, None, None, None, "mm", "[0.05; 0.04; 0.005]", "soma 6 um across", "f"),
     ]
     df = spark.createDataFrame([(*r, dt.datetime(2024, 1, 1)) for r in rows], "id bigint, soma_x double, soma_y double, soma_z double, soma_unit string, soma_text string, remark string, feed string, updated_at timestamp")
-    out = {r.id: (r.soma_found, r.nm) for r in points.soma_units(df, spark.createDataFrame(FEEDS, FEED_SCHEMA)).select("id", "soma_found", U.to_nm(F.col("s_x"), F.col("soma_found"), "x").alias("nm")).collect()}
+    units = points.soma_units(df, spark.createDataFrame(FEEDS, FEED_SCHEMA)).select("id", U.unit_name(F.col("soma_code")).alias("unit"), U.to_nm(F.col("soma__x"), F.col("soma_code"), "x").alias("nm"))
+    out = {r.id: (r.unit, r.nm) for r in units.collect()}
     assert out == {1: ("nm", 50000.0), 2: ("um", 50000.0), 3: ("voxel", 50000.0), 4: (None, None), 5: ("nm", 50000.0), 6: ("mm", 50000.0)}
 
 
