@@ -280,9 +280,9 @@ def occupied_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(None)
 def capability_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What each public dataset can serve through each of its stores."""
-    from axonframe.model.datasets import register_public
+    """What each public data set can serve through each of its stores."""
+    from axonframe.model.datasets import SERVED, register_public
     from axonframe.model.registry import capability_matrix as matrix
 
     register_public()
-    return matrix(spark)
+    return matrix(spark).where(F.col("dataset").isin(sorted({row[0] for row in SERVED})))
