@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,8 +39,10 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = lambda name: table(spark, sf_dir, name)
     names = read("nt_names")
     fields = [Field("pre"), Field("post"), Field("nt"), Field("nt_confidence", CONFIDENCE_WITHIN)]
-    synapses = diff_tables(_synapses(read("synapses"), names), _synapses(read("synapses_mirror"), names), ["key1"], fields)
-    edges = diff_tables(_edges(read("edges")), _edges(read("edges_mirror")), ["key1", "key2", "key3"], [Field("weight")])
+    with ThreadPoolExecutor(2) as pool:  # the two tables have nothing to do with each other
+        synapses = pool.submit(lambda: diff_tables(_synapses(read("synapses"), names), _synapses(read("synapses_mirror"), names), ["key1"], fields))
+        edges = diff_tables(_edges(read("edges")), _edges(read("edges_mirror")), ["key1", "key2", "key3"], [Field("weight")])
+        synapses = synapses.result()
     synapses = synapses.select(F.lit("synapses").alias("tab"), "key1", F.lit(0).cast("long").alias("key2"), F.lit("").alias("key3"), "diff")
     return synapses.unionByName(edges.select(F.lit("edges").alias("tab"), "key1", "key2", "key3", "diff"))
 
