@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from axonframe.plans import cut_lineage, skew_safe_join
 
 #: Bits that a round settles: it counts rows above 2 ** BITS - 1 midpoints of every group's interval.
-BITS = 6
+BITS = 8
 _SIGN = -(2**63)
 
 
@@ -52,20 +52,18 @@ def top_by_bisection(df: DataFrame, group: str, score: str, ident: str, n: int)
     stats = coded.groupBy("k").agg(F.count(F.lit(1)).alias("n"), *[f(signed(c)).alias(f"{p}_{c}") for c in "si" for p, f in (("lo", F.min), ("hi", F.max))])
     stats = stats.select("k", "n", *[_code(F.col(f"{p}_{c}")).alias(f"{p}_{c}") for c in "si" for p in ("lo", "hi")])
     stats = cut_lineage(stats)
-    total = coded.count()
+    sums = stats.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("groups"), F.coalesce(F.sum((F.col("n") <= n).cast("long")), F.lit(0)).alias("small")).first()
+    total = sums.rows
     closed = [stats.where(F.col("n") <= n).select("k", "n", F.col("lo_s").alias("cut_s"), F.lit(0).cast("long").alias("cut_i"))]
     width_s, width_i = _width(F.col("lo_s"), F.col("hi_s")), _width(F.col("lo_i"), F.col("hi_i"))
     # phase 0 looks for the score of the n-th row, phase 1 for its identifier among the rows of that score
     state = stats.where((F.col("n") > n) & F.lit(n > 0)).select(
         "k", "n", F.lit(0).alias("phase"), F.lit(n).cast("long").alias("need"), width_s.alias("shift"), _high(F.col("hi_s"), width_s).alias("prefix"), F.col("lo_s").alias("cut_s"), width_i.alias("shift_i"), _high(F.col("hi_i"), width_i).alias("prefix_i")
     )
-    state = _to_identifier(state)
+    state, n_open = _to_identifier(state), sums.groups - sums.small if n > 0 else 0
     left = coded
-    while True:
-        state = cut_lineage(state)
-        if not state.limit(1).count():
-            break
-        joined = skew_safe_join(left, state, "k", F.col("n"), total)
+    while n_open:
+        joined = skew_safe_join(left, state, "k", F.col("n"), total, n_open)
         inside = F.when(F.col("phase") == 0, _high(F.col("s"), F.col("shift")) == F.col("prefix")).otherwise((F.col("s") == F.col("cut_s")) & (_high(F.col("i"), F.col("shift")) == F.col("prefix")))
         step = F.least(F.col("shift"), F.lit(BITS))
         value = F.when(F.col("phase") == 0, F.col("s")).otherwise(F.col("i"))
@@ -84,11 +82,11 @@ def top_by_bisection(df: DataFrame, group: str, score: str, ident: str, n: int)
         whole = F.col("need") == F.col("c")
         at = _raise(F.col("prefix"), F.col("shift"))
         closed.append(hit.where(whole).select("k", "n", F.when(F.col("phase") == 0, at).otherwise(F.col("cut_s")).alias("cut_s"), F.when(F.col("phase") == 0, F.lit(0).cast("long")).otherwise(at).alias("cut_i")))
-        state = _to_identifier(hit.where(~whole).drop("c"))
+        state, n_open = _to_identifier(hit.where(~whole).drop("c")), hit.where(~whole).count()
     cutoffs = closed[0]
     for more in closed[1:]:
         cutoffs = cutoffs.unionByName(more)
-    kept = skew_safe_join(coded, cutoffs, "k", F.col("n"), total)
+    kept = skew_safe_join(coded, cutoffs, "k", F.col("n"), total, sums.groups)
     above, equal = signed("s") > signed("cut_s"), F.col("s") == F.col("cut_s")
     kept = kept.where(F.lit(n > 0) & (above | (equal & (signed("i") >= signed("cut_i")))))
     return kept.select(F.col("k.g").alias(group), signed("s").alias(score), F.bitwise_not(signed("i")).alias(ident))
