@@ -31,3 +31,14 @@ def test_empty_and_clashing_columns(spark):
     rows = [(1, 5, 2, "x", 1, 1), (1, 5, 1, "x", 2, 2), (1, 9, 3, "y", 3, 3)]
     df = spark.createDataFrame(rows, "pre bigint, n bigint, k bigint, slot string, phase int, shift int")
     assert set(map(tuple, top_by_bisection(df, "pre", "n", "k", 2).collect())) == {(1, 9, 3), (1, 5, 1)}
+
+
+def test_groups_beyond_the_broadcast_bound(spark, monkeypatch):
+    from axonframe.plans import joins
+
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(joins, "HOT_GROUPS", 5)
+    r = random.Random(8)
+    rows = [(r.choice([1] * 30 + list(range(20))), r.randint(0, 4), i) for i in range(900)]
+    got = top_by_bisection(spark.createDataFrame(rows, SCHEMA), "g", "s", "i", 3).collect()
+    assert set(map(tuple, got)) == brute(rows, 3) and len(got) == len(brute(rows, 3))
