@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -198,6 +197,3 @@ def normalize_skeleton(df: DataFrame, names: Mapping[str, str] | None = None) ->
     lead = ["id"] if "id" in df.columns else []
     return df.select(*lead, *[F.col(c).try_cast(t).alias(c) for c, t in SKELETON_TYPES.items()])
 
-
-def any_of(columns: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, columns)

@@ -57,7 +57,7 @@ def version_order(c: Column) -> list[Column]:
     """Sort columns of the same order for a column of version names."""
     bare = F.trim(F.element_at(F.split(c, ":"), -1))
     ok = bare.rlike(_PATTERN)
-    numbers = F.transform(F.split(F.regexp_extract(bare, _PATTERN, 1), r"\."), lambda x: F.expr("1") * x.try_cast("int"))
+    numbers = F.transform(F.split(F.regexp_extract(bare, _PATTERN, 1), r"\."), lambda x: x.try_cast("int"))
     return [ok, F.when(ok, numbers), F.when(ok, F.regexp_extract(bare, _PATTERN, 2)).otherwise(bare)]
 
 
