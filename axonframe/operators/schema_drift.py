@@ -103,12 +103,14 @@ def schema_changes(drops: DataFrame, c: Drops = Drops()) -> tuple[DataFrame, Dat
 
 
 def consistent_table(drops: DataFrame, targets: dict[str, tuple[str, ...]], c: Drops = Drops()) -> DataFrame:
-    """All valid lines as one table: file, stream, seq, entity and one text column per target.
+    """All valid lines as one table: file, stream, seq, entity, one text column per target and ``remainder``.
 
-    ``targets`` gives, for each column of the result, the names that a stream may start with. A migration step of a
+    ``targets`` gives, for each column of the result, the names that a stream may use. A migration step of a
     file renames fields as detected; the steps of a stream are chained in file order, so a field keeps the column of its first name
-    through later renames. Values are cast to text (an array by joining its members with ``; ``); a field that a
-    file lacks gives null.
+    through later renames, and a field before its first known name takes the column of that name. Values are cast to text (an
+    array by joining its members with ``; ``); a field that a file lacks gives null. ``remainder`` lists name and value of
+    all other fields: those without a column, and, where several fields of a line lead to one column, those after the first
+    (a known name before a field renamed from one, then a field renamed to one later, then by name).
     """
     changes, lines = schema_changes(drops, c)
     files = file_order(drops, c)
@@ -117,21 +119,35 @@ def consistent_table(drops: DataFrame, targets: dict[str, tuple[str, ...]], c: D
     fold = F.lower(F.regexp_replace("name", "[^A-Za-z0-9]", ""))
     fields = lines.select("file_id", "name").distinct().join(files, "file_id").withColumn("target", F.try_element_at(named, fold))
     routes = _route(fields, steps)
-    values = lines.join(routes, ["file_id", "name"])
+    values = lines.join(routes, ["file_id", "name"], "left")
     text = F.when(F.col("kind") == "array", F.array_join(F.from_json("text", "array<string>"), "; ")).otherwise(F.col("text"))
     keys = ["file_id", "stream", "seq", "entity"]
     every = drops.select(F.col(c.file).alias("file_id"), F.col(c.stream).alias("stream"), F.col(c.seq).alias("seq"), F.col(c.entity).alias("entity")).where(F.expr(f"try_parse_json({c.payload}) is not null"))
-    wide = every.withColumn("target", F.lit(None).cast("string")).withColumn("value", F.lit(None).cast("string")).unionByName(values.select(*keys, "target", text.alias("value")))
-    return wide.groupBy(*keys).agg(*[F.max(F.when(F.col("target") == t, F.col("value"))).alias(t) for t in targets])
+    every = every.withColumns({"target": F.lit(None).cast("string"), "rank": F.lit(None).cast("int"), "name": F.lit(None).cast("string"), "value": F.lit(None).cast("string")})
+    long = every.unionByName(values.select(*keys, "target", "rank", "name", text.alias("value"))).repartition(*keys)
+    long = long.groupBy(*keys, "target", "rank", "name").agg(F.max("value").alias("value"))
+    first = F.row_number().over(Window.partitionBy(*keys, "target").orderBy("rank", "name")) == 1
+    long = long.withColumn("target", F.when(first, F.col("target")))
+    rest = F.collect_list(F.when(F.col("target").isNull() & F.col("name").isNotNull(), F.struct("name", "value")))
+    return long.groupBy(*keys).agg(*[F.max(F.when(F.col("target") == t, F.col("value"))).alias(t) for t in targets], F.array_sort(rest).alias("remainder"))
 
 
 def _route(fields: DataFrame, steps: DataFrame) -> DataFrame:
-    """Target of each field of each file. A field without a known name takes that of the field it comes from, through any
-    number of files: pointers to the file before double their reach each round.
+    """Target of each field of each file that has one, and its ``rank``: 0 by its own name, 1 from the field it comes from, 2 from the
+    field it becomes, through any number of files.
     """
     back = fields.select("file_id", "prev_id", "name", "target").join(steps.select("file_id", F.col("col_name").alias("name"), "old_name"), ["file_id", "name"], "left")
-    nodes = cut_lineage(back.select("file_id", "name", "target", "prev_id", F.coalesce("old_name", "name").alias("prev_name")))
-    while nodes.where("target is null and prev_id is not null").limit(1).count():
-        up = nodes.select(F.col("file_id").alias("prev_id"), F.col("name").alias("prev_name"), F.col("target").alias("t"), F.col("prev_id").alias("p"), F.col("prev_name").alias("n"))
-        nodes = cut_lineage(nodes.join(up, ["prev_id", "prev_name"], "left").select("file_id", "name", F.coalesce("target", "t").alias("target"), F.col("p").alias("prev_id"), F.col("n").alias("prev_name")))
-    return nodes.where("target is not null").select("file_id", "name", "target")
+    nodes = cut_lineage(back.select("file_id", "name", "target", F.when(F.col("target").isNotNull(), 0).alias("rank"), "prev_id", F.coalesce("old_name", "name").alias("prev_name")))
+    earlier = _follow(nodes.withColumnsRenamed({"prev_id": "to_id", "prev_name": "to_name"}), 1)
+    after = nodes.where("prev_id is not null").select(F.col("prev_id").alias("file_id"), F.col("prev_name").alias("name"), F.col("file_id").alias("to_id"), F.col("name").alias("to_name"))
+    later = _follow(cut_lineage(earlier.select("file_id", "name", "target", "rank").join(after, ["file_id", "name"], "left")), 2)
+    return later.where("target is not null").select("file_id", "name", "target", "rank")
+
+
+def _follow(nodes: DataFrame, rank: int) -> DataFrame:
+    """Each node without a target takes the nearest along ``to_id``, ``to_name``: pointers double their reach each round."""
+    while nodes.where("target is null and to_id is not null").limit(1).count():
+        up = nodes.select(F.col("file_id").alias("to_id"), F.col("name").alias("to_name"), F.col("target").alias("t"), F.col("to_id").alias("p"), F.col("to_name").alias("n"))
+        found = F.coalesce("rank", F.when(F.col("t").isNotNull(), rank)).alias("rank")
+        nodes = cut_lineage(nodes.join(up, ["to_id", "to_name"], "left").select("file_id", "name", F.coalesce("target", "t").alias("target"), found, F.col("p").alias("to_id"), F.col("n").alias("to_name")))
+    return nodes

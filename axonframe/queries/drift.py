@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from axonframe.operators.schema_drift import consistent_table, schema_changes
 from axonframe.plans.session import table
 
-#: Names, letters and digits only, that a field of the consistent table may have in a stream's first file.
+#: Names, letters and digits only, by which a field of the consistent table is known.
 TARGETS = {
     "type": ("type", "celltype", "primarytype", "typelabel"),
     "status": ("status", "proofstatus", "statuslabel", "tracestate"),
@@ -16,7 +16,7 @@ TARGETS = {
     "hemilineage": ("hemilineage", "lineage", "itolee"),
     "n_synapses": ("nsyn", "synapsecount"),
     "reviewer": ("reviewer", "checkedby"),
-    "confidence": ("confidence", "typescore"),
+    "confidence": ("confidence", "typescore", "conf"),
     "tags": ("tags", "labels", "keywordlist"),
     "batch": ("batchno", "importbatch"),
 }
@@ -32,7 +32,7 @@ def p3_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All valid lines as one table."""
+    """All valid lines as one table; fields without a column of their own are in ``remainder``."""
     return consistent_table(table(spark, sf_dir, "annotation_drops"), TARGETS)
 
 

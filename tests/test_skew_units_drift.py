@@ -131,3 +131,16 @@ def test_consistent_table(spark):
     assert len(rows) == 21 and (4, 6) not in rows and rows[4, 7].type is None
     assert [rows[f, 2].type for f in (1, 2, 3, 4)] == ["T1"] * 4 and rows[3, 5].type == "T4; T5"
     assert [rows[f, 1].status for f in (1, 2, 3, 4)] == ["ok", "ok", None, None]
+
+
+def test_consistent_table_keeps_every_field(spark):
+    one = [(i, {"early": f"T{i}", "conf": i / 8, "note": f"n{i}"}) for i in range(5)]
+    two = [(i, {"earlier": f"T{i}", "conf": i / 8, "note": f"n{i}"}) for i in range(5)]
+    three = [(i, {"cellType": f"T{i}", "type": f"U{i}", "conf": i / 8, "note": [f"n{i}", "x"]}) for i in range(5)]
+    df = spark.createDataFrame(files(one, two, three) + [(None, "s", None, 1, 7, '{"note": "no file"}')], DROPS)
+    rows = {(r.file_id, r.seq): r for r in consistent_table(df, {k: TARGETS[k] for k in ("type", "confidence")}).collect()}
+    rest = {at: dict(map(tuple, r.remainder)) for at, r in rows.items()}
+    assert len(rows) == 16 and rest[None, 1] == {"note": "no file"}
+    for i in range(5):
+        assert [(rows[f, i + 1].type, rows[f, i + 1].confidence) for f in (1, 2, 3)] == [(f"T{i}", str(i / 8))] * 3
+        assert [rest[f, i + 1] for f in (1, 2, 3)] == [{"note": f"n{i}"}] * 2 + [{"note": f"n{i}; x", "type": f"U{i}"}]
