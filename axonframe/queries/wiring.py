@@ -112,6 +112,13 @@ def adjacency_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.adjacency(C.edges(syn), sources, targets)
 
 
+@query("WITH s AS (SELECT DISTINCT pre FROM syn), t AS (SELECT DISTINCT post FROM syn), e AS (SELECT pre, post, count(*) AS w FROM syn WHERE pre <> post GROUP BY ALL) SELECT s.pre, t.post, CAST(coalesce(w, 0) AS INT) AS weight FROM s CROSS JOIN t LEFT JOIN e ON e.pre = s.pre AND e.post = t.post", "syn")
+def adjacency_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole dense matrix: every sender with every receiver. ``adjacency_long`` is the part its SQL asks for."""
+    syn = derived(spark, sf_dir, "syn")
+    return C.adjacency(C.edges(syn), syn.select(F.col("pre").alias("id")), syn.select(F.col("post").alias("id")))
+
+
 _ENDS = "SELECT pre AS id, {r} 1 AS s, 0 AS t FROM syn WHERE pre <> post UNION ALL SELECT post, {r} 0, 1 FROM syn WHERE pre <> post"
 
 

@@ -260,3 +260,14 @@ def test_from_catalog(spark):
     ds = from_catalog(spark, "probe")
     assert rows(ds.connectivity.edges([1])) == [(1, 2, 2)] and not hasattr(ds, "somas")
     spark.sql("DROP DATABASE probe CASCADE")
+
+
+def test_whole_adjacency_equals_brute_force(spark, tmp_path):
+    from axonframe.queries import catalog
+
+    pairs = [(i * i % 8, i * 5 % 11) for i in range(60)] + [(3, 4)]
+    lines = [(s, p, 1.0, "A", 0.1, 0.1, 1) for s, p in pairs]
+    spark.createDataFrame(lines, "l_suppkey bigint, l_partkey bigint, l_quantity double, l_returnflag string, l_discount double, l_tax double, l_linenumber int").write.parquet(str(tmp_path / "lineitem.parquet"))
+    base = 720575940600000001
+    got = {(r.pre - base, r.post - base): r.weight for r in catalog.queries()["adjacency_whole"](spark, str(tmp_path)).collect()}
+    assert got == {(s, t): 0 if s == t else pairs.count((s, t)) for s, _ in pairs for _, t in pairs}
