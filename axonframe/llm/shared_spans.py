@@ -334,11 +334,14 @@ def shared_pairs(documents: DataFrame, min_span: int = MIN_SPAN, chunk_chars: in
 def shared_runs(documents: DataFrame, min_span: int = MIN_SPAN, chunk_chars: int = CHUNK_CHARS, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Maximal exact repeats: ``doc_a`` < ``doc_b``, ``pos_a``, ``pos_b``, ``n_chars``, one row per pair and repeat.
 
-    Meetings on one diagonal, a block apart, lie in one repeat. Of places with equal surroundings in one document whose anchor
-    is crowded (see ``DIRECT``) the first stands for all. Otherwise as ``shared_pairs``.
+    Meetings on one diagonal, a block apart, lie in one repeat. Otherwise as ``shared_pairs``.
     """
     block = (min_span + 1) // 2
-    met, _ = _meetings(_hits_around(documents, min_span, chunk_chars, doc, text), min_span)
+    met, members = _meetings(_hits_around(documents, min_span, chunk_chars, doc, text), min_span)
+    if members is not None:  # a meeting of first places is one of all the places that they stand for
+        for x in "ab":
+            of = members.select(F.col("doc_id").alias(f"doc_{x}"), "fp", F.col("first").alias(f"pos_{x}"), F.col("pos").alias("other"))
+            met = met.join(of, [f"doc_{x}", "fp", f"pos_{x}"], "left").withColumn(f"pos_{x}", F.coalesce("other", f"pos_{x}")).drop("other")
     diagonal = ["doc_a", "doc_b", "shift"]
     met = met.withColumn("shift", F.col("pos_b") - F.col("pos_a"))
     w = Window.partitionBy(*diagonal).orderBy("pos_a")

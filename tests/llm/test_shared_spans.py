@@ -1,5 +1,6 @@
 """Shared spans against brute force."""
 
+import itertools
 import random
 
 import pytest
@@ -66,6 +67,31 @@ def test_runs_are_maximal(spark):
     assert [tuple(r) for r in got] == [(1, 2, 25, 0, 36)]
 
 
+def brute_runs(docs, n):
+    out = set()
+    for i, a in docs:
+        for j, b in docs:
+            if i < j:
+                for shift in range(-len(a), len(b)):
+                    equal = [0 <= k + shift < len(b) and a[k] == b[k + shift] for k in range(len(a))]
+                    at = 0
+                    for same, run in itertools.groupby(equal):
+                        size = len(list(run))
+                        if same and size >= n:
+                            out.add((i, j, at, at + shift, size))
+                        at += size
+    return out
+
+
+@pytest.mark.parametrize("direct", [10_000, 60, 1])
+def test_runs_equal_brute_force(spark, direct, monkeypatch):
+    monkeypatch.setattr(S, "DIRECT", direct)
+    p = "The quick brown fox jumps over the lazy dog, twice a day."
+    docs = corpus(4, 12) + [(1, "x" * 45), (2, "x" * 33 + "y"), (3, p + "1" + p), (4, "2" + p + "3" + p), (5, "4" + p[3:40] + "5" + p[10:])]
+    got = [tuple(r) for r in S.shared_runs(spark.createDataFrame(docs, SCHEMA), min_span=20, chunk_chars=900).collect()]
+    assert len(got) == len(set(got)) and set(got) == brute_runs(docs, 20)
+
+
 def test_exact_threshold(spark):
     r = random.Random(1)
     p = "".join(chr(r.randint(97, 122)) for _ in range(200))
