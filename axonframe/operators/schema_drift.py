@@ -83,11 +83,11 @@ def schema_changes(drops: DataFrame, c: Drops = Drops()) -> tuple[DataFrame, Dat
     pairs = pairs.where(F.col("same") * RENAME_SHARE[1] >= F.col("n") * RENAME_SHARE[0])
     order = [F.desc(F.col("same") / F.col("n")), F.desc("same"), F.col("old_name"), F.col("col_name")]
     by = lambda name: F.row_number().over(Window.partitionBy("file_id", name).orderBy(*order))
-    matched, left = None, pairs
-    for _ in range(2):  # mutual best pairs, then those whose better partner is taken
+    matched, left = None, cut_lineage(pairs)
+    while matched is None or left.limit(1).count():  # mutual best pairs, then those whose better partner is taken; each round settles one a file
         best = cut_lineage(left.withColumn("a", by("old_name")).withColumn("b", by("col_name")).where("a = 1 and b = 1").select("file_id", "old_name", "col_name"))
         matched = best if matched is None else matched.unionByName(best)
-        left = left.join(best.select("file_id", "old_name"), ["file_id", "old_name"], "left_anti").join(best.select("file_id", "col_name"), ["file_id", "col_name"], "left_anti")
+        left = cut_lineage(left.join(best.select("file_id", "old_name"), ["file_id", "old_name"], "left_anti").join(best.select("file_id", "col_name"), ["file_id", "col_name"], "left_anti"))
     renamed = matched.join(gone.withColumnRenamed("name", "old_name"), ["file_id", "old_name"]).join(come.withColumnRenamed("name", "col_name"), ["file_id", "col_name"])
     columns = ["file_id", "prev_id", "old_name", "col_name", "old_kind", "new_kind", "change_kind"]
     as_ = lambda df, kind: df.withColumn("change_kind", F.lit(kind)).select(*columns)

@@ -121,6 +121,12 @@ def test_rename_needs_agreement_and_can_retype(spark):
     assert changes(spark, files(one)) == [] and schema_changes(spark.createDataFrame([], DROPS))[0].count() == 0
 
 
+def test_equal_fields_are_all_renamed(spark):
+    one = [(i, {f"a{k}": True for k in range(5)}) for i in range(5)]
+    two = [(i, {f"b{k}": True for k in range(4)}) for i in range(5)]
+    assert changes(spark, files(one, two)) == [(2, "a4", "removed")] + [(2, f"b{k}", "renamed") for k in range(4)]
+
+
 def test_consistent_table(spark):
     one = [(i, {"type": f"T{i}", "status": "ok"}) for i in range(5)]
     two = [(i, {"strange": f"T{i}", "Status": "ok"}) for i in range(5)]
