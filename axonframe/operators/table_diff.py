@@ -39,6 +39,11 @@ class Field:
         return ~(a.isNull() & b.isNull()) & F.coalesce(F.abs(a - b) > self.within, F.lit(True))
 
 
+def _hash(*columns: Column) -> Column:
+    """64-bit hash that tells where nulls stand; Spark's own passes over them."""
+    return F.xxhash64(*[c.isNull() for c in columns], *columns)
+
+
 def _bucket(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.hash(*keys), F.lit(buckets))
 
@@ -51,8 +56,9 @@ def _both(main: DataFrame, mirror: DataFrame, columns: list[str]) -> DataFrame:
 def _bucket_sums(df: DataFrame, keys: list[str], fields: list[Field], buckets: int, loaded: str, sign: int) -> DataFrame:
     """The matrix of one copy: per bucket, for the keys (0) and each field, the two lanes of the sum of hashes."""
     hashes = [f"__h{i + 1}" for i in range(len(fields))]
-    rows = df.select(*keys, recency(loaded).alias("__last"), *[F.xxhash64(F.lit(i), *keys, f.digest()).alias(h) for i, (f, h) in enumerate(zip(fields, hashes, strict=True))])
-    standing = rows.groupBy(*keys).agg(*[F.max_by(h, "__last").alias(h) for h in hashes]).withColumn("__h0", F.xxhash64(*keys))
+    places = [F.col(k) for k in keys]
+    rows = df.select(*keys, recency(loaded).alias("__last"), *[_hash(F.lit(i), *places, f.digest()).alias(h) for i, (f, h) in enumerate(zip(fields, hashes, strict=True))])
+    standing = rows.groupBy(*keys).agg(*[F.max_by(h, "__last").alias(h) for h in hashes]).withColumn("__h0", _hash(*places))
     lanes = []
     for h in ["__h0", *hashes]:
         lanes += [F.sum(F.col(h).bitwiseAND(_LOW) * sign).alias(f"{h}l"), F.sum(F.shiftrightunsigned(F.col(h), 32) * sign).alias(f"{h}u")]

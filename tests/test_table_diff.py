@@ -56,6 +56,13 @@ def test_equals_brute_force(spark, seed):
     assert sorted(map(tuple, got.collect()), key=str) == brute(main, mirror)
 
 
+def test_nulls_count_by_their_place(spark):
+    t = dt.datetime(2024, 1, 1)
+    schema = "pre bigint, post bigint, v bigint, loaded_at timestamp"
+    a, b = spark.createDataFrame([(None, 5, 1, t), (6, 7, 1, t)], schema), spark.createDataFrame([(5, None, 1, t), (6, 7, 1, t)], schema)
+    assert sorted(map(tuple, diff_tables(a, b, ["pre", "post"], [Field("v")]).collect()), key=str) == [(5, None, "only_mirror"), (None, 5, "only_main")]
+
+
 def test_equal_copies_and_empty_ones(spark):
     main = table(1, 50)
     df, none = spark.createDataFrame(main, SCHEMA), spark.createDataFrame([], SCHEMA)
