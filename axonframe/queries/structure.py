@@ -136,6 +136,26 @@ def common_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _micros(G.common_time(_wanted(spark, sf_dir), _intervals(spark, sf_dir)), "valid_from", "valid_to")
 
 
+_ALIVE = "want AS (SELECT DISTINCT root FROM spans WHERE f <= TIMESTAMP '1998-01-01 00:00:00' AND (t IS NULL OR TIMESTAMP '1998-01-01 00:00:00' < t))"
+
+
+def _alive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All roots alive at the date, of which ``_wanted`` takes two."""
+    held = _intervals(spark, sf_dir).where(G.holds_at(F.to_timestamp(F.lit("1998-01-01 00:00:00"))))
+    return held.select(F.col("root").alias("id")).distinct()
+
+
+@query(f"WITH {_INTERVALS}, {_ALIVE} SELECT version, epoch_us(timestamp) AS timestamp FROM (SELECT version, timestamp, count(DISTINCT s.root) AS n FROM versions JOIN spans s ON f <= timestamp AND (t IS NULL OR timestamp < t) WHERE s.root IN (SELECT root FROM want) GROUP BY ALL) WHERE n = (SELECT count(*) FROM want) ORDER BY version DESC LIMIT 1", "changes", "versions")
+def newest_version_of_all_alive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _micros(newest_joint_version(_alive(spark, sf_dir), _intervals(spark, sf_dir), derived(spark, sf_dir, "versions")), "timestamp")
+
+
+@query(f"""WITH {_INTERVALS}, {_ALIVE}, s AS (SELECT root, min(f) AS f, CASE WHEN count(*) = count(t) THEN max(t) END AS t FROM spans WHERE root IN (SELECT root FROM want) GROUP BY root)
+    SELECT epoch_us(max(f)) AS valid_from, epoch_us(min(t)) AS valid_to FROM s HAVING min(t) IS NULL OR max(f) < min(t)""", "changes")
+def common_time_of_all_alive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _micros(G.common_time(_alive(spark, sf_dir), _intervals(spark, sf_dir)), "valid_from", "valid_to")
+
+
 # ---- volumes
 
 _RUNS = "runs AS (SELECT min(x) AS x, y, z, CAST(count(*) AS INT) AS len FROM (SELECT *, x - row_number() OVER (PARTITION BY z, y ORDER BY x) AS g FROM (SELECT DISTINCT x, y, z FROM vox)) GROUP BY z, y, g)"
