@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from axonframe.plans import BROADCAST_ROWS, bounded_count, cut_lineage, lookup_join
+from axonframe.plans import cut_lineage, fits_broadcast, lookup_join
 
 #: Full names of each unit.
 UNIT_NAMES = {
@@ -29,31 +29,35 @@ FUZZY_SHARE = 0.2
 #: Names this short must agree in every letter.
 EXACT_LENGTH = 3
 EXACT_SLACK = 0.1
+#: Costs of a final ``s``, of a blank or punctuation mark, and of two swapped letters.
+PLURAL, MARK, SWAP = 0.1, 0.1, 0.3
 GRAM = 2
 #: Points may lie outside the box by this share of its bounds, for rounding of recorded values.
 BOX_SLACK = 1e-6
 
 
-def edit_distance(a: str, b: str, plural: float = 0.1, mark: float = 0.1, swap: float = 0.3) -> float:
+def edit_distance(a: str, b: str, plural: float = PLURAL, mark: float = MARK, swap: float = SWAP) -> float:
     """Weighted edit distance of two folded spellings.
 
     A final ``s`` and blanks and punctuation cost little, swapped neighbours (``er``/``re``) less than two
     edits, anything else 1.
     """
     weight = lambda s, i: plural if s[i] == "s" and i == len(s) - 1 else 1.0 if s[i].isalnum() else mark
-    rows = [[0.0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    rows: list[list[float]] = []  # the last three rows of the table
     for i in range(len(a) + 1):
+        row = []
         for j in range(len(b) + 1):
             best = [] if i or j else [0.0]
             if i:
-                best.append(rows[i - 1][j] + weight(a, i - 1))
+                best.append(rows[-1][j] + weight(a, i - 1))
             if j:
-                best.append(rows[i][j - 1] + weight(b, j - 1))
+                best.append(row[j - 1] + weight(b, j - 1))
             if i and j:
-                best.append(rows[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+                best.append(rows[-1][j - 1] + (a[i - 1] != b[j - 1]))
             if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1] and a[i - 1] != a[i - 2]:
-                best.append(rows[i - 2][j - 2] + swap)
-            rows[i][j] = min(best)
+                best.append(rows[-2][j - 2] + swap)
+            row.append(min(best))
+        rows = [*rows[-1:], row]
     return rows[-1][-1]
 
 
@@ -70,27 +74,31 @@ def _grams(c: Column) -> Column:
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for p in batches:
         p["distance"] = [edit_distance(a, b) for a, b in zip(p["folded"], p["name"], strict=True)]
-        longest = p[["folded", "name"]].map(len).max(axis=1)
-        limit = (FUZZY_SHARE * longest).where(p["name"].map(len) > EXACT_LENGTH, EXACT_SLACK)
-        yield p[p["distance"] <= limit][["folded", "unit", "distance"]]
+        yield p[p["distance"] <= p["limit"]][["folded", "unit", "distance"]]
 
 
 def alias_dictionary(spellings: DataFrame, column: str, names: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """Dictionary ``folded``, ``unit`` of the distinct spellings in ``column`` that mean a unit.
 
     Candidates come from an inverted index of the names' character n-grams: a spelling meets only names that share a
-    gram with it. A weighted edit distance verifies them; the nearest name wins, the first unit in a tie. Null, empty
+    gram with it. A weighted edit distance verifies them; the nearest name wins, the first unit in a tie. Only pairs that no distance
+    could accept are passed over before: each letter beyond those of the name costs 1 (a final ``s`` less) and each mark a
+    tenth. So a spelling of any length, such as ``n a n o m e t e r s``, is judged by its distance. Null, empty
     and unrecognised spellings are left out.
     """
     spark = spellings.sparkSession
     names = names or UNIT_NAMES
     index = spark.createDataFrame([(n, u) for u, ns in names.items() for n in ns], "name string, unit string")
     index = index.select("name", "unit", F.explode(_grams(F.col("name"))).alias("gram"))
-    longest = int(max(len(n) for ns in names.values() for n in ns) * (1 + FUZZY_SHARE)) + 2
-    distinct = spellings.select(fold_unit(F.col(column)).alias("folded")).where(F.length("folded").between(1, longest)).distinct()
+    distinct = spellings.select(fold_unit(F.col(column)).alias("folded")).where("folded <> ''").distinct()
     probes = distinct.select("folded", F.explode(_grams(F.col("folded"))).alias("gram"))
     # the index has a handful of grams for each of a fixed list of names
     pairs = probes.join(F.broadcast(index), "gram").select("folded", "name", "unit").distinct()
+    letters = lambda c: F.length(F.regexp_replace(c, r"[^\p{L}\p{N}]", ""))
+    marks, size = lambda c: F.length(c) - letters(c), F.length("name")
+    limit = F.when(size > EXACT_LENGTH, FUZZY_SHARE * F.greatest(F.length("folded"), size)).otherwise(EXACT_SLACK)
+    least = F.greatest(letters("folded") - size - 1 + PLURAL, F.lit(0.0)) + MARK * F.greatest(marks("folded") - marks("name"), F.lit(0))
+    pairs = pairs.withColumn("limit", limit).where(least <= F.col("limit") + 1e-9)
     near = pairs.mapInPandas(_verify, "folded string, unit string, distance double")
     return near.groupBy("folded").agg(F.min_by("unit", F.struct("distance", "unit")).alias("unit"))
 
@@ -114,7 +122,7 @@ def build_aliases(spellings: list[tuple[DataFrame, str]], texts: list[tuple[Data
     parts = [df.select(fold_unit(F.col(c)).alias("folded")).distinct() for df, c in spellings]
     parts += [df.select(c).where(F.trim(c) != "").distinct().select(F.explode(F.transform(words(F.col(c)), fold_unit)).alias("folded")) for df, c in texts]
     table = cut_lineage(alias_dictionary(reduce(DataFrame.unionByName, parts), "folded"))
-    return Aliases(table, bounded_count(table, BROADCAST_ROWS) <= BROADCAST_ROWS)
+    return Aliases(table, fits_broadcast(table))
 
 
 def text_statements(texts: DataFrame, column: str, aliases: Aliases | None = None) -> DataFrame:

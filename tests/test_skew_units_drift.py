@@ -89,6 +89,13 @@ def test_units_of_somas(spark):
     assert out == {1: ("nm", 50000.0), 2: ("um", 50000.0), 3: ("voxel", 50000.0), 4: (None, None), 5: ("nm", 50000.0), 6: ("mm", 50000.0)}
 
 
+def test_long_spellings_are_judged_by_their_distance(spark):
+    said = {"n a n o m e t e r s": "nm", "m-i-l-l-i-m-e-t-e-r-s": "mm", "nm": "nm", "nms": "nm", "nm.": "nm", "nanometrs": "nm", "micronz": "um", "x" * 3000: None, "nanometers of the soma": None, "": None, None: None, "." * 3000: None}
+    df = spark.createDataFrame([(s,) for s in said], "u string")
+    got = {r.folded: r.unit for r in U.alias_dictionary(df, "u").collect()}
+    assert got == {s: u for s, u in said.items() if u}
+
+
 # ---- drift
 
 DROPS = "file_id bigint, stream string, exported_at timestamp, seq int, root_id bigint, payload string"
