@@ -15,7 +15,7 @@ from axonframe import criteria, scenes
 from axonframe.functions import normalize as N
 from axonframe.model.errors import CapabilityError
 from axonframe.model.registry import get_spec
-from axonframe.model.spec import Cap, DatasetSpec, StoreSpec
+from axonframe.model.spec import Cap, DatasetSpec, NtTable, StoreSpec
 from axonframe.model.version import Version, find_version, resolve_version, sort_versions
 from axonframe.operators import connectivity as C
 from axonframe.operators import graph_history as G
@@ -422,18 +422,15 @@ class Dataset:
         return N.normalize_annotations(df, s.id_column, layered, self.spec.derive, self.spec.side_map, self.spec.voxel_size, s.units, units)
 
     def _synapses(self, transmitters: bool = False) -> DataFrame:
-        df = self.table("synapses")
-        names = {self.store.score_column: "score"}
-        if not transmitters:
-            return N.soft_cast(N.rename_consuming(df, names), N.SYNAPSE_TYPES)
-        if self.store.nt_table:
-            calls = (self.tables or self.spark.table)(self.store.nt_table)
-            return C.with_transmitters(N.soft_cast(N.rename_consuming(df, names), N.SYNAPSE_TYPES), calls)
-        return N.add_transmitters(N.soft_cast(N.rename_consuming(df, names), N.SYNAPSE_TYPES), self.store.nt_columns)
+        df = N.soft_cast(N.rename_consuming(self.table("synapses"), self.store.names("synapses")), N.SYNAPSE_TYPES)
+        calls = self.store.transmitters if transmitters else None
+        if isinstance(calls, NtTable):
+            return C.with_transmitters(df, (self.tables or self.spark.table)(calls.name))
+        return N.add_transmitters(df, calls.classes) if calls else df
 
     def result(self, df: DataFrame, query: str, **more: object) -> Result:
         """A table with its provenance."""
-        return Result(df, {"dataset": self.name, "store": self.store.kind, "source": self.store.source, "version": str(self.version), "version_timestamp": self.version.timestamp, "query": query, "planned": datetime.now(UTC), "transmitters": self.store.transmitters(), **more})
+        return Result(df, {"dataset": self.name, "store": self.store.kind, "source": self.store.source, "version": str(self.version), "version_timestamp": self.version.timestamp, "query": query, "planned": datetime.now(UTC), "transmitters": self.store.provenance(), **more})
 
 
 def get_dataset(name: str, spark: SparkSession, store: str | None = None, tables: Callable[[str], DataFrame] | None = None, version: object = "latest") -> Dataset:

@@ -10,15 +10,36 @@ from pyspark.sql import functions as F
 from axonframe.model.errors import CapabilityError
 from axonframe.model.spec import TRANSMITTERS
 
+# The columns of the canonical tables, in order, with their types.
 EDGE_TYPES = {"pre": "bigint", "post": "bigint", "weight": "int", "roi": "string"}
 SYNAPSE_TYPES = {
-    **{"id": "bigint", "pre": "bigint", "post": "bigint"},
-    **{f"{s}_{a}": "float" for s in ("pre", "post") for a in "xyz"},
-    **{"score": "float", "roi": "string", "nt": "string", "nt_confidence": "float"},
+    "id": "bigint",
+    "pre": "bigint",
+    "post": "bigint",
+    "pre_x": "float",
+    "pre_y": "float",
+    "pre_z": "float",
+    "post_x": "float",
+    "post_y": "float",
+    "post_z": "float",
+    "score": "float",
+    "roi": "string",
+    "nt": "string",
+    "nt_confidence": "float",
 }
 ANNOTATION_TYPES = {
-    **{"id": "bigint", "type": "string", "side": "string", "superclass": "string", "class": "string", "subclass": "string"},
-    **{"nt": "string", "nt_source": "string", "status": "string", "soma_x": "float", "soma_y": "float", "soma_z": "float"},
+    "id": "bigint",
+    "type": "string",
+    "side": "string",
+    "superclass": "string",
+    "class": "string",
+    "subclass": "string",
+    "nt": "string",
+    "nt_source": "string",
+    "status": "string",
+    "soma_x": "float",
+    "soma_y": "float",
+    "soma_z": "float",
 }
 SKELETON_TYPES = {"node_id": "int", "parent_id": "int", "x": "float", "y": "float", "z": "float", "radius": "float"}
 

@@ -94,17 +94,18 @@ def root_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.roots_at(points, _intervals(spark, sf_dir)).select("supervoxel", "version", "root")
 
 
-_WANTED = "want AS (SELECT root FROM spans WHERE f <= TIMESTAMP '1998-01-01 00:00:00' AND (t IS NULL OR TIMESTAMP '1998-01-01 00:00:00' < t) GROUP BY root ORDER BY root LIMIT 2)"
+_ALIVE = "want AS (SELECT DISTINCT root FROM spans WHERE f <= TIMESTAMP '1998-01-01 00:00:00' AND (t IS NULL OR TIMESTAMP '1998-01-01 00:00:00' < t))"
 
 
-def _wanted(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _alive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All roots alive at the date."""
     held = _intervals(spark, sf_dir).where(G.holds_at(F.to_timestamp(F.lit("1998-01-01 00:00:00"))))
-    return held.select(F.col("root").alias("id")).distinct().orderBy("id").limit(2)
+    return held.select(F.col("root").alias("id")).distinct()
 
 
-@query(f"WITH {_INTERVALS}, {_WANTED} SELECT version, epoch_us(timestamp) AS timestamp FROM (SELECT version, timestamp, count(DISTINCT s.root) AS n FROM versions JOIN spans s ON f <= timestamp AND (t IS NULL OR timestamp < t) WHERE s.root IN (SELECT root FROM want) GROUP BY ALL) WHERE n = (SELECT count(*) FROM want) ORDER BY version DESC LIMIT 1", "changes", "versions")
+@query(f"WITH {_INTERVALS}, {_ALIVE} SELECT version, epoch_us(timestamp) AS timestamp FROM (SELECT version, timestamp, count(DISTINCT s.root) AS n FROM versions JOIN spans s ON f <= timestamp AND (t IS NULL OR timestamp < t) WHERE s.root IN (SELECT root FROM want) GROUP BY ALL) WHERE n = (SELECT count(*) FROM want) ORDER BY version DESC LIMIT 1", "changes", "versions")
 def newest_version_of_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _micros(newest_joint_version(_wanted(spark, sf_dir), _intervals(spark, sf_dir), derived(spark, sf_dir, "versions")), "timestamp")
+    return _micros(newest_joint_version(_alive(spark, sf_dir), _intervals(spark, sf_dir), derived(spark, sf_dir, "versions")), "timestamp")
 
 
 @query(f"""WITH {_INTERVALS}, live AS (SELECT sv, root AS new_id FROM spans WHERE t IS NULL), ids AS (SELECT DISTINCT root FROM spans),
@@ -131,28 +132,9 @@ def supervoxels_of_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("root", F.size("supervoxels").cast("long").alias("n"), text.alias("supervoxels"))
 
 
-@query(f"WITH {_INTERVALS}, {_WANTED}, s AS (SELECT root, min(f) AS f, CASE WHEN count(*) = count(t) THEN max(t) END AS t FROM spans WHERE root IN (SELECT root FROM want) GROUP BY root) SELECT epoch_us(max(f)) AS valid_from, epoch_us(min(t)) AS valid_to FROM s HAVING min(t) IS NULL OR max(f) < min(t)", "changes")
-def common_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _micros(G.common_time(_wanted(spark, sf_dir), _intervals(spark, sf_dir)), "valid_from", "valid_to")
-
-
-_ALIVE = "want AS (SELECT DISTINCT root FROM spans WHERE f <= TIMESTAMP '1998-01-01 00:00:00' AND (t IS NULL OR TIMESTAMP '1998-01-01 00:00:00' < t))"
-
-
-def _alive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All roots alive at the date, of which ``_wanted`` takes two."""
-    held = _intervals(spark, sf_dir).where(G.holds_at(F.to_timestamp(F.lit("1998-01-01 00:00:00"))))
-    return held.select(F.col("root").alias("id")).distinct()
-
-
-@query(f"WITH {_INTERVALS}, {_ALIVE} SELECT version, epoch_us(timestamp) AS timestamp FROM (SELECT version, timestamp, count(DISTINCT s.root) AS n FROM versions JOIN spans s ON f <= timestamp AND (t IS NULL OR timestamp < t) WHERE s.root IN (SELECT root FROM want) GROUP BY ALL) WHERE n = (SELECT count(*) FROM want) ORDER BY version DESC LIMIT 1", "changes", "versions")
-def newest_version_of_all_alive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _micros(newest_joint_version(_alive(spark, sf_dir), _intervals(spark, sf_dir), derived(spark, sf_dir, "versions")), "timestamp")
-
-
 @query(f"""WITH {_INTERVALS}, {_ALIVE}, s AS (SELECT root, min(f) AS f, CASE WHEN count(*) = count(t) THEN max(t) END AS t FROM spans WHERE root IN (SELECT root FROM want) GROUP BY root)
     SELECT epoch_us(max(f)) AS valid_from, epoch_us(min(t)) AS valid_to FROM s HAVING min(t) IS NULL OR max(f) < min(t)""", "changes")
-def common_time_of_all_alive(spark: SparkSession, sf_dir: str) -> DataFrame:
+def common_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _micros(G.common_time(_alive(spark, sf_dir), _intervals(spark, sf_dir)), "valid_from", "valid_to")
 
 
@@ -301,8 +283,8 @@ def occupied_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(None)
 def capability_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each public data set can serve through each of its stores."""
-    from axonframe.model.datasets import SERVED, register_public
+    from axonframe.model.datasets import PUBLIC, register_public
     from axonframe.model.registry import capability_matrix as matrix
 
     register_public()
-    return matrix(spark).where(F.col("dataset").isin(sorted({row[0] for row in SERVED})))
+    return matrix(spark).where(F.col("dataset").isin([s.name for s in PUBLIC]))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from axonframe import criteria
 from axonframe.functions import normalize as N
-from axonframe.model.spec import AnnotationSource, Cap, DatasetSpec, StoreSpec
+from axonframe.model.spec import AnnotationSource, Cap, DatasetSpec, NtColumns, StoreSpec
 from axonframe.dataset import Dataset
 from axonframe.operators import connectivity as C
 from axonframe.plans.session import table
@@ -15,7 +15,7 @@ from axonframe.queries.inputs import B, derived, with_inputs
 
 SPEC = DatasetSpec(
     "fixture",
-    (StoreSpec("cave", "driver tables", tables={"synapses": "syn", "rois": "rois", "roi_tree": "roi_tree", "nucleus": "somas", "proofreading": "proofread"}, nt_columns={"ach": "acetylcholine", "gaba": "gaba", "glut": "glutamate"}, position_units="voxel"),),
+    (StoreSpec("cave", "driver tables", tables={"synapses": "syn", "rois": "rois", "roi_tree": "roi_tree", "nucleus": "somas", "proofreading": "proofread"}, transmitters=NtColumns({"ach": "acetylcholine", "gaba": "gaba", "glut": "glutamate"}), position_units="voxel"),),
     annotation_sources=(AnnotationSource("parts", "cave_table", "raw"),),
     fields={"type": ("cell_type", "hemibrain_type"), "superclass": ("super_class",), "side": ("side",)},
     derive={"instance_side": ("instance", "_([LRM])$")},
@@ -105,16 +105,9 @@ def edges_equal_view_and_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.exceptAll(b).unionByName(b.exceptAll(a)).agg(F.count(F.lit(1)).alias("n_differences"))
 
 
-@query("WITH s AS (SELECT DISTINCT pre FROM syn WHERE pre % 3 = 0), t AS (SELECT DISTINCT post FROM syn WHERE post % 5 = 0), e AS (SELECT pre, post, count(*) AS w FROM syn WHERE pre <> post GROUP BY ALL) SELECT s.pre, t.post, CAST(coalesce(w, 0) AS INT) AS weight FROM s, t LEFT JOIN e ON e.pre = s.pre AND e.post = t.post", "syn")
-def adjacency_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    syn = derived(spark, sf_dir, "syn")
-    sources, targets = syn.where("pre % 3 = 0").select(F.col("pre").alias("id")), syn.where("post % 5 = 0").select(F.col("post").alias("id"))
-    return C.adjacency(C.edges(syn), sources, targets)
-
-
 @query("WITH s AS (SELECT DISTINCT pre FROM syn), t AS (SELECT DISTINCT post FROM syn), e AS (SELECT pre, post, count(*) AS w FROM syn WHERE pre <> post GROUP BY ALL) SELECT s.pre, t.post, CAST(coalesce(w, 0) AS INT) AS weight FROM s CROSS JOIN t LEFT JOIN e ON e.pre = s.pre AND e.post = t.post", "syn")
-def adjacency_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole dense matrix: every sender with every receiver. ``adjacency_long`` is the part its SQL asks for."""
+def adjacency_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole dense matrix: every sender with every receiver."""
     syn = derived(spark, sf_dir, "syn")
     return C.adjacency(C.edges(syn), syn.select(F.col("pre").alias("id")), syn.select(F.col("post").alias("id")))
 
@@ -146,7 +139,7 @@ _ARGMAX = f"""SELECT pre, post, a AS nt_acetylcholine, g AS nt_gaba, u AS nt_glu
 
 @query(_ARGMAX, "syn")
 def synapse_nt_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = N.add_transmitters(derived(spark, sf_dir, "syn"), SPEC.stores[0].nt_columns)
+    out = N.add_transmitters(derived(spark, sf_dir, "syn"), SPEC.stores[0].transmitters.classes)
     return out.select("pre", "post", "nt_acetylcholine", "nt_gaba", "nt_glutamate", "nt", "nt_confidence")
 
 

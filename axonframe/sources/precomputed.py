@@ -88,9 +88,8 @@ class Scale:
 
 
 def scales_of(info: dict) -> list[Scale]:
-    keys = {"resolution": "resolution", "size": "size"}
     return [
-        Scale(s["key"], *[tuple(s[k]) for k in keys.values()], tuple(s["chunk_sizes"][0]), tuple(s.get("voxel_offset", (0, 0, 0))), s["encoding"], tuple(s.get("compressed_segmentation_block_size", (8, 8, 8))), s.get("sharding"))
+        Scale(s["key"], tuple(s["resolution"]), tuple(s["size"]), tuple(s["chunk_sizes"][0]), tuple(s.get("voxel_offset", (0, 0, 0))), s["encoding"], tuple(s.get("compressed_segmentation_block_size", (8, 8, 8))), s.get("sharding"))
         for s in info["scales"]
     ]
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from axonframe.dataset import Dataset
 from axonframe.model import errors
-from axonframe.model.spec import AnnotationSource, Cap, DatasetSpec, SparseVolumes, StoreSpec
+from axonframe.model.spec import AnnotationSource, Cap, DatasetSpec, NtColumns, SparseVolumes, StoreSpec
 
 T0, T1 = dt.datetime(2020, 1, 1), dt.datetime(2021, 1, 1)
 
@@ -37,7 +37,7 @@ def ds(spark):
     }
     roles = {"synapses": "syn", "nucleus": "nuc", "proofreading": "proof", "edits": "edits", "lineage": "lin", "graph": "graph", "versions": "versions", "rois": "rois", "roi_tree": "tree", "runs": "runs", "skeletons": "skel", "l2": "l2", "l2_graph": "l2g"}
     spec = DatasetSpec(
-        "all", (StoreSpec("cave", "here", tables=roles, nt_columns={"ach": "acetylcholine", "gaba": "gaba"}, position_units="voxel"), StoreSpec("neuprint", "there", tables=roles, nt_columns={"ach": "acetylcholine"})),
+        "all", (StoreSpec("cave", "here", tables=roles, transmitters=NtColumns({"ach": "acetylcholine", "gaba": "gaba"}), position_units="voxel"), StoreSpec("neuprint", "there", tables=roles, transmitters=NtColumns({"ach": "acetylcholine"}))),
         annotation_sources=(AnnotationSource("a", "cave_table", "ann"), AnnotationSource("b", "cave_table", "ann", public=False, fields={"side": ()})), fields={"type": ("cell_type",), "side": ("side",)}, side_map={"L": "left", "R": "right"},
         voxel_size=(4.0, 4.0, 40.0), sparse_volumes=SparseVolumes((1, 2)), viewer="plain", capabilities=frozenset(Cap),
     )

@@ -9,7 +9,7 @@ from axonframe import criteria
 from axonframe.dataset import Dataset, from_catalog, get_dataset
 from axonframe.functions import normalize as N
 from axonframe.model import errors, registry
-from axonframe.model.spec import AnnotationSource, Cap, DatasetSpec, SparseVolumes, StoreSpec
+from axonframe.model.spec import AnnotationSource, Cap, DatasetSpec, NtColumns, NtTable, SparseVolumes, StoreSpec
 from axonframe.model.version import Version, find_version, resolve_version, sort_versions, version_order
 from axonframe.operators import connectivity as C
 from axonframe.sources import readers
@@ -31,13 +31,18 @@ def test_spec_validation_and_capabilities():
     with pytest.raises(ValueError):
         StoreSpec("neuprint", "x", extra_capabilities=frozenset({Cap.LIVE}))
     with pytest.raises(ValueError):
-        StoreSpec("cave", "x", nt_columns={"a": "unobtainium"})
+        NtColumns({"a": "unobtainium"})
+    with pytest.raises(ValueError):
+        NtColumns({})
+    with pytest.raises(ValueError):
+        StoreSpec("cave", "x", position_units="ell")
     with pytest.raises(ValueError):
         DatasetSpec("d", ())
     with pytest.raises(ValueError):
         DatasetSpec("d", (StoreSpec("cave", "x"),), public=False)
-    with pytest.raises(ValueError):
-        DatasetSpec("d", (StoreSpec("cave", "x"),), capabilities=frozenset({Cap.NT_PER_SYNAPSE}))
+    calls = DatasetSpec("d", (StoreSpec("cave", "x"), StoreSpec("neuprint", "y", transmitters=NtTable("t"))), capabilities=frozenset({Cap.NT_PER_SYNAPSE}))
+    assert calls.capabilities_for("cave") == frozenset() and calls.capabilities_for("neuprint") == {Cap.NT_PER_SYNAPSE}
+    assert calls.store("neuprint").provenance() == {"source": "t", "classes": None} and calls.store("cave").provenance() is None
     d = DatasetSpec("d", (StoreSpec("neuprint", "a", missing_capabilities=frozenset({Cap.ROIS})), StoreSpec("cave", "b")), capabilities=frozenset({Cap.CHUNKEDGRAPH, Cap.ROIS, Cap.SOMAS}))
     assert d.capabilities_for() == {Cap.SOMAS} and d.stores_with(Cap.CHUNKEDGRAPH) == ("cave",)
     with pytest.raises(errors.CapabilityError, match="the cave store does"):
@@ -269,5 +274,5 @@ def test_whole_adjacency_equals_brute_force(spark, tmp_path):
     lines = [(s, p, 1.0, "A", 0.1, 0.1, 1) for s, p in pairs]
     spark.createDataFrame(lines, "l_suppkey bigint, l_partkey bigint, l_quantity double, l_returnflag string, l_discount double, l_tax double, l_linenumber int").write.parquet(str(tmp_path / "lineitem.parquet"))
     base = 720575940600000001
-    got = {(r.pre - base, r.post - base): r.weight for r in catalog.queries()["adjacency_whole"](spark, str(tmp_path)).collect()}
+    got = {(r.pre - base, r.post - base): r.weight for r in catalog.queries()["adjacency_long"](spark, str(tmp_path)).collect()}
     assert got == {(s, t): 0 if s == t else pairs.count((s, t)) for s, _ in pairs for _, t in pairs}

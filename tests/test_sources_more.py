@@ -8,7 +8,9 @@ import pytest
 
 from axonframe.functions import labels as L
 from axonframe.model import errors, registry
-from axonframe.model.datasets import LETTERS, SERVED, register_public
+from axonframe.dataset import Dataset
+from axonframe.functions import normalize as N
+from axonframe.model.datasets import HEMIBRAIN, MALECNS, MANC, PUBLIC, register_public
 from axonframe.operators import dense_read as D
 from axonframe.sources import graph_store as S
 from axonframe.sources.cache import TableCache
@@ -108,5 +110,20 @@ def test_stream_equals_batch(spark, tmp_path):
 
 def test_public_specs(spark):
     register_public()
-    got = {(r.dataset, r.store): {c for c in LETTERS.values() if r[c.value]} for r in registry.capability_matrix(spark).collect()}
-    assert {(d, s): {LETTERS[x] for x in served} for d, s, _, served in SERVED}.items() <= got.items()
+    got = {(r.dataset, r.store): r for r in registry.capability_matrix(spark).collect() if r.dataset in {s.name for s in PUBLIC}}
+    assert len(got) == sum(len(s.stores) for s in PUBLIC) == 12
+    # graph-only queries are refused through snapshot stores, transmitters are had only where a source is named
+    assert not any(r.chunkedgraph or r.live or r.l2cache or r.proofreading for (_, store), r in got.items() if store == "neuprint")
+    assert {k for k, r in got.items() if r.nt_per_synapse} == {("flywire", "cave"), ("flywire-production", "cave"), ("banc", "neuprint"), ("banc", "cave"), ("malecns", "neuprint"), ("manc", "neuprint")}
+    assert got["banc", "cave"].voxels and not got["banc", "neuprint"].meshes and got["microns", "cave"].somas and not got["microns", "cave"].synapse_scores
+
+
+def test_public_sides_and_transmitters(spark):
+    nodes = spark.createDataFrame([(1, "a_L", "LHS", "L"), (2, "b_R", "RHS", "R"), (3, "c", "UNK", None)], "bodyId bigint, instance string, somaSide string, letter string")
+    sides = {}
+    for spec, df in ((HEMIBRAIN, nodes), (MANC, nodes), (MALECNS, nodes.drop("somaSide").withColumnRenamed("letter", "somaSide"))):
+        got = Dataset(spec, spark, tables={"Neuron": df}.__getitem__).annotations.get()
+        sides[spec.name] = {r.id: r.side for r in got.collect()}
+    assert sides == dict.fromkeys(("hemibrain", "manc", "malecns"), {1: "left", 2: "right", 3: None})
+    raw = spark.createDataFrame([(1, 2, 0.1, 0.2, 0.3, 0.4)], "bodyId_pre bigint, bodyId_post bigint, ntAcetylcholineProb double, ntGabaProb double, ntGlutamateProb double, ntUnknownProb double")
+    assert [r.nt for r in N.add_transmitters(raw, MANC.stores[0].transmitters.classes).collect()] == ["unknown"]

@@ -241,8 +241,8 @@ def test_joint_validity_of_all_alive(spark, tmp_path):
     orders = [(1, 1, dt.datetime(1995, 1, 1)), (2, 2, dt.datetime(1996, 1, 1)), (3, 3, dt.datetime(1997, 6, 1)), (303, 9, dt.datetime(1999, 6, 1))]
     spark.createDataFrame(orders, "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp").write.parquet(str(tmp_path / "orders.parquet"))
     queries = catalog.queries()
-    assert [r.version for r in queries["newest_version_of_all_alive"](spark, str(tmp_path)).collect()] == [5]
-    (r,) = queries["common_time_of_all_alive"](spark, str(tmp_path)).collect()
+    assert [r.version for r in queries["newest_version_of_all"](spark, str(tmp_path)).collect()] == [5]
+    (r,) = queries["common_time"](spark, str(tmp_path)).collect()
     assert r.valid_to - r.valid_from == 730 * 86_400_000_000
 
 
