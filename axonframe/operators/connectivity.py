@@ -8,19 +8,20 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from axonframe.plans import BROADCAST_ROWS, bounded_count
+from axonframe.plans import fits_broadcast
 
 
-def restrict(df: DataFrame, column: str, selection: DataFrame, small: bool | None = None) -> DataFrame:
-    """Rows whose ``column`` is a selected ``id``: a semi join, broadcast if the selection is known to be small."""
+def restrict(df: DataFrame, column: str, selection: DataFrame) -> DataFrame:
+    """Rows whose ``column`` is a selected ``id``: a semi join. Nothing is run; the optimizer and the adaptive plan broadcast the ids where their size allows."""
     ids = selection.select(F.col("id").alias("__id")).distinct()
-    if small is None:
-        small = bounded_count(ids, BROADCAST_ROWS) <= BROADCAST_ROWS
-    return df.join(F.broadcast(ids) if small else ids, F.col(column) == F.col("__id"), "left_semi")
+    return df.join(ids, F.col(column) == F.col("__id"), "left_semi")
 
 
 def touching(df: DataFrame, selection: DataFrame | list[int] | None, upstream: bool, downstream: bool) -> DataFrame:
-    """Rows whose post (upstream) or pre (downstream) is selected, in one scan, so that a row inside the selection comes once."""
+    """Rows whose post (upstream) or pre (downstream) is selected, in one scan, so that a row inside the selection comes once.
+
+    A list of ids becomes a filter that reaches the scan; a table of ids joins at each end, with no job while the plan is built.
+    """
     if not (upstream or downstream):
         raise ValueError("ask for upstream, downstream or both")
     if selection is None:
@@ -28,12 +29,9 @@ def touching(df: DataFrame, selection: DataFrame | list[int] | None, upstream: b
     ends = [c for c, on in (("post", upstream), ("pre", downstream)) if on]
     if isinstance(selection, list):
         return df.where(reduce(lambda a, b: a | b, [F.col(c).isin(selection) for c in ends]))
-    ids = selection.select("id").distinct()
-    few = bounded_count(ids, BROADCAST_ROWS) <= BROADCAST_ROWS
-    ids = F.broadcast(ids) if few else ids
     if len(ends) == 1:
-        return restrict(df, ends[0], selection, few)
-    out = df
+        return restrict(df, ends[0], selection)
+    ids, out = selection.select("id").where("id is not null").distinct(), df
     for c in ends:
         out = out.join(ids.select(F.col("id").alias(f"__{c}"), F.lit(True).alias(f"__in_{c}")), F.col(c) == F.col(f"__{c}"), "left")
     return out.where("__in_pre or __in_post").drop("__pre", "__post", "__in_pre", "__in_post")
@@ -64,7 +62,9 @@ def edges(
     row, ``min_total_weight`` for the whole connection of a table by region. Edges of a neuron with itself only if asked.
     """
     plain = edge_view is not None and not by_roi and rois is None
-    rows = touching(edge_view if plain else synapses, selection, upstream, downstream)
+    # ids beyond a broadcast meet edges, not synapses: counting combines before it shuffles, and no hub's synapses travel by themselves
+    late = not plain and isinstance(selection, DataFrame) and not fits_broadcast(selection)
+    rows = touching(edge_view if plain else synapses, None if late else selection, upstream, downstream)
     if not autapses:
         rows = rows.where("pre <> post")
     if rois is not None:
@@ -73,6 +73,7 @@ def edges(
         out = rows.select(F.col("pre").cast("bigint").alias("pre"), F.col("post").cast("bigint").alias("post"), F.col("weight").cast("int").alias("weight"))
     else:
         out = aggregate_edges(rows, by_roi)
+        out = touching(out, selection, upstream, downstream) if late else out
     if min_weight > 1:
         out = out.where(F.col("weight") >= min_weight)
     if min_total_weight > 1:
@@ -81,23 +82,32 @@ def edges(
     return out
 
 
-#: Most targets of a dense matrix; the edge table itself is its sparse form.
-MOST_TARGETS = 100_000
+#: Targets of a dense matrix that one row holds while it is made.
+TARGET_BLOCK = 4096
+
+
+def adjacency_sparse(edge_rows: DataFrame, sources: DataFrame, targets: DataFrame) -> DataFrame:
+    """``pre``, ``post``, ``weight`` of the edges from sources to targets: the matrix without its zeros."""
+    ids = lambda df: df.select("id").where("id is not null")
+    kept = restrict(restrict(edge_rows, "pre", ids(sources)), "post", ids(targets))
+    return kept.groupBy("pre", "post").agg(F.sum("weight").cast("int").alias("weight"))
 
 
 def adjacency(edge_rows: DataFrame, sources: DataFrame, targets: DataFrame) -> DataFrame:
     """The dense matrix in long form, ``pre``, ``post``, ``weight``: every source with every target, 0 where there is no edge.
 
-    The matrix is the result asked for, so every source row is expanded by the targets, at most ``MOST_TARGETS``.
+    Every cell is a row of the result, which is asked for; the zeros come from blocks of ``TARGET_BLOCK`` targets, each joined to the
+    sources by a number and expanded there, so that neither the driver nor the plan holds the targets. ``adjacency_sparse`` has no zeros.
     """
-    ids = targets.select("id").where("id is not null").distinct()
-    if bounded_count(ids, MOST_TARGETS) > MOST_TARGETS:
-        raise ValueError(f"a dense matrix takes at most {MOST_TARGETS} targets; the edge table is its sparse form")
-    wanted = sorted(r.id for r in ids.collect())
-    kept = restrict(restrict(edge_rows, "pre", sources), "post", ids).groupBy("pre", "post").agg(F.sum("weight").alias("weight"))
+    kept = adjacency_sparse(edge_rows, sources, targets)
+    post = targets.select(F.col("id").alias("post")).where("post is not null").distinct()
+    n_blocks = max(1, -(-post.count() // TARGET_BLOCK))
+    block = F.pmod(F.xxhash64("post"), F.lit(n_blocks)).cast("int")
+    blocks = post.groupBy(block.alias("__block")).agg(F.collect_list("post").alias("__posts"))
     cells = sources.select(F.col("id").alias("pre")).where("pre is not null").distinct()
-    cells = cells.withColumn("post", F.explode(F.array(*[F.lit(t).cast("bigint") for t in wanted]).cast("array<bigint>")))
-    return cells.join(kept, ["pre", "post"], "left").select("pre", "post", F.coalesce("weight", F.lit(0)).cast("int").alias("weight"))
+    cells = cells.select("pre", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("__block")).join(blocks, "__block")
+    zeros = cells.select("pre", F.explode("__posts").alias("post"), F.lit(0).alias("weight"))
+    return zeros.unionByName(kept).groupBy("pre", "post").agg(F.sum("weight").cast("int").alias("weight"))
 
 
 def adjacency_wide(edge_rows: DataFrame, sources: DataFrame, targets: Sequence[int]) -> DataFrame:

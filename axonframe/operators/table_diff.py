@@ -10,12 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from axonframe.operators.standing import recency
-from axonframe.plans import bounded_count, cut_lineage
+from axonframe.plans import cut_lineage, lookup_join
+from axonframe.plans.joins import BROADCAST_BYTES, ROW_BYTES
 
 #: Rows of both copies that share a bucket, on average.
 ROWS_PER_BUCKET = 8
-#: Most unequal buckets that are broadcast; more are joined by a shuffle.
-BROADCAST_BUCKETS = 1_000_000
 _LOW = 0xFFFFFFFF
 
 
@@ -101,12 +100,12 @@ def diff_tables(
     step = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     buckets = min(2**31 - 1 - (2**31 - 1) % step, step * max(1, math.ceil(rows / (rows_per_bucket * step))))
     cells = cut_lineage(checksum_matrix(main, mirror, keys, fields, buckets, loaded))
-    any_mask = cells.agg(F.bit_or("mask")).first()[0] or 0
+    n_cells, any_mask = cells.agg(F.count(F.lit(1)), F.coalesce(F.bit_or("mask"), F.lit(0))).first()
     used = [(i + 1, f) for i, f in enumerate(fields) if any_mask >> (i + 1) & 1]
-    if bounded_count(cells, BROADCAST_BUCKETS) <= BROADCAST_BUCKETS:
-        cells = F.broadcast(cells)
     read = _both(main.withColumn("__last", recency(loaded)), mirror.withColumn("__last", recency(loaded)), [*keys, *[f.name for _, f in used], "__last"])
-    read = read.withColumn("bucket", _bucket(keys, buckets)).join(cells, "bucket")
+    read = lookup_join(read.withColumn("bucket", _bucket(keys, buckets)), cells, "bucket", "inner", small=n_cells * (ROW_BYTES + 16) <= BROADCAST_BYTES)
+    # a column whose cell is equal need not travel
+    read = read.withColumns({f.name: F.when(F.col("mask").bitwiseAND(1 << i) != 0, F.col(f.name)) for i, f in used})
     when = {1: F.when(F.col("__side") == 1, F.col("__last")), -1: F.when(F.col("__side") == -1, F.col("__last"))}
     sides = {1: "__m", -1: "__c"}
     aggs = [F.max(F.col("__side") == s).alias(f"{p}has") for s, p in sides.items()] + [F.first("mask").alias("mask")]

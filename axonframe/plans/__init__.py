@@ -1,7 +1,7 @@
 """Physical-plan helpers: lineage cuts, size-checked joins, skew-safe joins, tree aggregation."""
 
-from axonframe.plans.cut import cut_lineage, shared_dir
-from axonframe.plans.joins import BROADCAST_ROWS, bounded_count, lookup_join, skew_safe_join
-from axonframe.plans.tree import tree_aggregate
+from axonframe.plans.cut import clear_cuts, cut_lineage, discard, shared_dir
+from axonframe.plans.joins import BROADCAST_BYTES, fits_broadcast, lookup_join, skew_safe_join
+from axonframe.plans.tree import partitions_of, tree_aggregate
 
-__all__ = ["BROADCAST_ROWS", "bounded_count", "cut_lineage", "lookup_join", "shared_dir", "skew_safe_join", "tree_aggregate"]
+__all__ = ["BROADCAST_BYTES", "clear_cuts", "cut_lineage", "discard", "fits_broadcast", "lookup_join", "partitions_of", "shared_dir", "skew_safe_join", "tree_aggregate"]

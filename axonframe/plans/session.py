@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Settings for sessions made here; a session given by the caller keeps its own.
+#: Settings for sessions made here. A session given by the caller keeps its own, but for the one setting of ``tune``.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -17,7 +17,7 @@ _HUGE_METHOD = ("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Set what any plan here gains from, unless the session sets it."""
+    """Lower the codegen limit of a session that has Spark's default: results are lazy, so it must hold when the caller runs them. Nothing else is set."""
     key, value = _HUGE_METHOD
     if spark.conf.get(key, None) in (None, "65535"):
         spark.conf.set(key, value)

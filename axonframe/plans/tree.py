@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def tree_levels(df: DataFrame, fan_in: int) -> int:
-    """Rounds of ``fan_in`` that merge the input splits of ``df``, from the optimizer's size estimate."""
-    conf = df.sparkSession.conf
-    split = int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(conf.get("spark.sql.files.maxPartitionBytes", "128m")))
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    splits = max(df.sparkSession.sparkContext.defaultParallelism, size / split, 2)
-    return min(5, max(2, math.ceil(math.log(splits, fan_in))))
+def partitions_of(df: DataFrame) -> int:
+    """Partitions of ``df``. For a bare table this reads no column; anything else is run as far as its partitions need."""
+    return df.select(F.spark_partition_id().alias("p")).agg(F.coalesce(F.max("p"), F.lit(0))).first()[0] + 1
+
+
+def tree_levels(splits: int, fan_in: int) -> int:
+    """Rounds of ``fan_in`` that merge ``splits`` input splits, two at least."""
+    levels = 2
+    while fan_in**levels < splits:
+        levels += 1
+    return levels
 
 
 def tree_aggregate(
@@ -24,6 +27,7 @@ def tree_aggregate(
     states: dict[str, tuple[Column, Callable[[Column], Column]]],
     fan_in: int = 8,
     levels: int | None = None,
+    splits: int | None = None,
 ) -> DataFrame:
     """Aggregate ``df`` by ``keys`` through a tree of merges.
 
@@ -31,9 +35,9 @@ def tree_aggregate(
     states. Every input split (a fixed-size chunk of the input) first combines its own rows; the states then move
     through ``levels`` rounds in each of which a node merges the states of ``fan_in`` nodes below it. So a key that
     holds a third of all rows meets no reducer that receives all its partial states. By default ``levels`` follows from
-    the size of the input. Keys may be null (a group of its own); an empty input gives no rows.
+    ``splits``, the partitions of the input, which are counted if not given, so that every leaf is one of them. Keys may be null (a group of its own); an empty input gives no rows.
     """
-    levels = levels or tree_levels(df, fan_in)
+    levels = levels or tree_levels(splits or partitions_of(df), fan_in)
     node = "__node"
     while node in df.columns:
         node += "_"

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from axonframe.plans import tree_aggregate
+from axonframe.plans import partitions_of, tree_aggregate
 from axonframe.plans.session import table
 
 #: A value is heavy if it holds at least one in so many rows.
@@ -16,7 +16,7 @@ HEAVY_SHARE = 100
 
 def key_counts(df: DataFrame, key: str) -> DataFrame:
     """Rows per value of ``key``: ``key_id``, ``n``. Null is counted as a value."""
-    return tree_aggregate(df.select(F.col(key).alias("key_id")), ["key_id"], {"n": (F.count(F.lit(1)), F.sum)})
+    return tree_aggregate(df.select(F.col(key).alias("key_id")), ["key_id"], {"n": (F.count(F.lit(1)), F.sum)}, splits=partitions_of(df))
 
 
 def heavy_values(df: DataFrame, key: str) -> DataFrame:
@@ -39,14 +39,16 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p2_synapse_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored synapse rows that a neuron sends and receives; unassigned ends (null, 0) are no neuron."""
     ends = F.explode(F.array(F.struct(F.col("pre").alias("id"), F.lit(1).alias("s"), F.lit(0).alias("r")), F.struct(F.col("post").alias("id"), F.lit(0).alias("s"), F.lit(1).alias("r"))))
-    rows = table(spark, sf_dir, "synapses").select(ends.alias("e")).select("e.*").where("id is not null and id <> 0")
-    return tree_aggregate(rows, ["id"], {"n_sent": (F.sum("s"), F.sum), "n_received": (F.sum("r"), F.sum)})
+    synapses = table(spark, sf_dir, "synapses")
+    rows = synapses.select(ends.alias("e")).select("e.*").where("id is not null and id <> 0")
+    return tree_aggregate(rows, ["id"], {"n_sent": (F.sum("s"), F.sum), "n_received": (F.sum("r"), F.sum)}, splits=partitions_of(synapses))
 
 
 def p2_partner_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct partners per sending neuron. Pairs are made distinct on both ids first, so no sender gathers its rows."""
     pairs = table(spark, sf_dir, "edges").where("pre is not null and post is not null").groupBy("pre", "post").agg(F.lit(1).alias("one"))
-    return tree_aggregate(pairs, ["pre"], {"n_partners": (F.count(F.lit(1)), F.sum)}).withColumnRenamed("pre", "id")
+    splits = int(spark.conf.get("spark.sql.shuffle.partitions"))  # the pairs lie in partitions of a shuffle
+    return tree_aggregate(pairs, ["pre"], {"n_partners": (F.count(F.lit(1)), F.sum)}, splits=splits).withColumnRenamed("pre", "id")
 
 
 def p2_transmitter_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,8 +57,9 @@ def p2_transmitter_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     Blank and null transmitters do not vote. Counts per neuron and transmitter go through the tree, so a neuron's
     last step sees one row per transmitter name.
     """
-    rows = table(spark, sf_dir, "synapses").select("pre", F.lower(F.trim("nt")).alias("nt")).where("pre is not null and pre <> 0 and nt <> ''")
-    votes = tree_aggregate(rows, ["pre", "nt"], {"n": (F.count(F.lit(1)), F.sum)})
+    synapses = table(spark, sf_dir, "synapses")
+    rows = synapses.select("pre", F.lower(F.trim("nt")).alias("nt")).where("pre is not null and pre <> 0 and nt <> ''")
+    votes = tree_aggregate(rows, ["pre", "nt"], {"n": (F.count(F.lit(1)), F.sum)}, splits=partitions_of(synapses))
     best = votes.groupBy("pre").agg(F.sum("n").alias("n_votes"), F.max("n").alias("n_best"), F.min_by("nt", F.struct(-F.col("n"), F.col("nt"))).alias("nt"))
     return best.select(F.col("pre").alias("id"), "nt", "n_best", "n_votes")
 

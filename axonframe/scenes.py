@@ -50,8 +50,10 @@ def colour_ids(ids: Sequence[int], colors: object = None, groups: Mapping[int, s
 
 def labels_of(annotations: DataFrame, ids: Sequence[int], column: str) -> dict[int, str]:
     """A label per id: the first of its values in order."""
+    if len(ids) > MOST_OBJECTS:
+        raise ValueError(f"a scene shows at most {MOST_OBJECTS} objects")
     rows = annotations.where(F.col("id").isin([int(i) for i in ids])).groupBy("id").agg(F.min(F.col(column).cast("string")).alias("v"))
-    return {r.id: r.v for r in rows.limit(MOST_OBJECTS).collect()}
+    return {r.id: r.v for r in rows.collect()}
 
 
 def segmentation_layer(name: str, source: str | Sequence[str], ids: Sequence[int] = (), colors: Mapping[int, str] | None = None, hidden: Sequence[int] = (), dialect: str = "plain") -> dict:

@@ -2,6 +2,7 @@
 
 import pytest
 
+from axonframe.plans import clear_cuts
 from axonframe.plans.session import build_session
 
 
@@ -10,4 +11,5 @@ def spark():
     s = build_session("local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="4g", spark__sql__autoBroadcastJoinThreshold="1m")
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    clear_cuts(s)
     s.stop()
