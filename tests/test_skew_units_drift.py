@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from axonframe.operators import units as U
-from axonframe.operators.schema_drift import consistent_table, schema_changes
+from axonframe.operators.schema_drift import Target, consistent_table, follow_schemas, migration_steps, schema_changes
 from axonframe.plans import tree_aggregate
 from axonframe.queries import points
 from axonframe.queries.drift import TARGETS
@@ -110,7 +110,7 @@ def files(*contents, stream="s"):
 
 
 def changes(spark, rows):
-    return sorted((r.file_id, r.col_name, r.change_kind) for r in schema_changes(spark.createDataFrame(rows, DROPS))[0].collect())
+    return sorted((r.file_id, r.col_name, r.change_kind) for r in schema_changes(spark.createDataFrame(rows, DROPS)).collect())
 
 
 def test_changes(spark):
@@ -125,7 +125,7 @@ def test_rename_needs_agreement_and_can_retype(spark):
     one = [(i, {"a": i, "b": f"b{i}"}) for i in range(5)]
     two = [(i, {"c": str(i), "d": f"b{i}" if i > 1 else "z"}) for i in range(5)]
     assert changes(spark, files(one, two)) == [(2, "b", "removed"), (2, "c", "renamed"), (2, "c", "retyped"), (2, "d", "added")]
-    assert changes(spark, files(one)) == [] and schema_changes(spark.createDataFrame([], DROPS))[0].count() == 0
+    assert changes(spark, files(one)) == [] and schema_changes(spark.createDataFrame([], DROPS)).count() == 0
 
 
 def test_equal_fields_are_all_renamed(spark):
@@ -140,7 +140,7 @@ def test_consistent_table(spark):
     three = [(i, {"odd": f"T{i}", "Status": None}) for i in range(4)] + [(4, {"odd": ["T4", "T5"]})]
     four = [(i, {"odder": f"T{i}"}) for i in range(5)] + [(9, "bad"), (None, {})]
     df = spark.createDataFrame(files(one, two, three, four), DROPS)
-    rows = {(r.file_id, r.seq): r for r in consistent_table(df, {k: TARGETS[k] for k in ("type", "status")}).collect()}
+    rows = {(r.file_id, r.seq): r for r in consistent_table(follow_schemas(df), {k: TARGETS[k] for k in ("type", "status")}).collect()}
     assert len(rows) == 21 and (4, 6) not in rows and rows[4, 7].type is None
     assert [rows[f, 2].type for f in (1, 2, 3, 4)] == ["T1"] * 4 and rows[3, 5].type == "T4; T5"
     assert [rows[f, 1].status for f in (1, 2, 3, 4)] == ["ok", "ok", None, None]
@@ -151,9 +151,25 @@ def test_consistent_table_keeps_every_field(spark):
     two = [(i, {"earlier": f"T{i}", "conf": i / 8, "note": f"n{i}"}) for i in range(5)]
     three = [(i, {"cellType": f"T{i}", "type": f"U{i}", "conf": i / 8, "note": [f"n{i}", "x"]}) for i in range(5)]
     df = spark.createDataFrame(files(one, two, three) + [(None, "s", None, 1, 7, '{"note": "no file"}')], DROPS)
-    rows = {(r.file_id, r.seq): r for r in consistent_table(df, {k: TARGETS[k] for k in ("type", "confidence")}).collect()}
+    rows = {(r.file_id, r.seq): r for r in consistent_table(follow_schemas(df), {k: TARGETS[k] for k in ("type", "confidence")}).collect()}
     rest = {at: dict(map(tuple, r.remainder)) for at, r in rows.items()}
     assert len(rows) == 16 and rest[None, 1] == {"note": "no file"}
     for i in range(5):
-        assert [(rows[f, i + 1].type, rows[f, i + 1].confidence) for f in (1, 2, 3)] == [(f"T{i}", str(i / 8))] * 3
+        assert [(rows[f, i + 1].type, rows[f, i + 1].confidence) for f in (1, 2, 3)] == [(f"T{i}", i / 8)] * 3
         assert [rest[f, i + 1] for f in (1, 2, 3)] == [{"note": f"n{i}"}] * 2 + [{"note": f"n{i}; x", "type": f"U{i}"}]
+
+
+def test_casts_defaults_and_schema_numbers(spark):
+    one = [(1, {"n_syn": "12", "tags": ["a", "b"]}), (2, {"n_syn": 7, "tags": "c"}), (3, {"n_syn": "many", "tags": None})]
+    two = [(1, {"n_syn": 5}), (2, "[1, 2]"), (3, "7")]
+    df = spark.createDataFrame(files(one, two, one, two), DROPS).withColumn("kind", F.lit("x")).withColumn("fields", F.lit(1))
+    drift = follow_schemas(df)
+    targets = {"n": Target(("nsyn",), "bigint"), "tags": Target(("tags",), "array<string>", default="[]")}
+    rows = {(r.file_id, r.seq): (r.n, r.tags, [tuple(x) for x in r.remainder]) for r in consistent_table(drift, targets).collect()}
+    first = {1: (12, ["a", "b"], []), 2: (7, ["c"], []), 3: (None, None, [("n_syn", "many")])}
+    assert rows == {(f, q): v for f in (1, 3) for q, v in first.items()} | {(2, 1): (5, [], []), (4, 1): (5, [], [])}
+    assert sorted((r.file_id, r.version, r.schema_no) for r in drift.files.collect()) == [(1, 1, 1), (2, 2, 2), (3, 3, 1), (4, 4, 2)]
+    steps = {(r.file_id, r.name, r.target, r.to_kind, r.rule) for r in migration_steps(drift, targets).collect()}
+    assert {(2, "n_syn", "n", "bigint", "own"), (2, None, "tags", "array<string>", "default"), (1, "tags", "tags", "array<string>", "own")} <= steps and len(steps) == 8
+    empty = follow_schemas(df.limit(0))
+    assert consistent_table(empty, targets).count() == 0 and migration_steps(empty, targets).count() == 0
