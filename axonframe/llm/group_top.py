@@ -2,14 +2,46 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from axonframe.plans import cut_lineage, skew_safe_join
+from axonframe.plans import cut_lineage, discard, skew_safe_join
 
 #: Bits that a round settles: it counts rows above 2 ** BITS - 1 midpoints of every group's interval.
 BITS = 8
 _SIGN = -(2**63)
+_REST = 2**63 - 1
+#: Digits of a decimal that fit 64 bits.
+_DIGITS = 18
+
+
+def _whole(c: Column, kind: T.DataType, what: str) -> Column:
+    """A score or identifier as a 64-bit number of the same order; equal values, and only they, have equal numbers.
+
+    Fractions are ordered by the bits of the double, those of negative ones turned round; 0 has one sign. A type that does not fit 64 bits raises.
+    """
+    if isinstance(kind, T.IntegralType):
+        return c.cast("long")
+    if isinstance(kind, T.DecimalType) and kind.precision <= _DIGITS:
+        return (c * F.lit(Decimal(10**kind.scale))).cast("long")
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        x = c.cast("double") + F.lit(0.0)
+        bits = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), F.coalesce(x, F.lit(0.0))).cast("long")
+        return F.when(~F.isnan(x), F.when(bits < 0, bits.bitwiseXOR(F.lit(_REST))).otherwise(bits))
+    raise TypeError(f"a {what} of type {kind.simpleString()} has no order of 64 bits")
+
+
+def _value(code: Column, kind: T.DataType) -> Column:
+    """The value of a number made by ``_whole``."""
+    if isinstance(kind, T.DecimalType):
+        return (code.cast("decimal(19,0)") * F.lit(Decimal(1).scaleb(-kind.scale))).cast(kind)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        bits = F.when(code < 0, code.bitwiseXOR(F.lit(_REST))).otherwise(code)
+        return F.reflect(F.lit("java.lang.Double"), F.lit("longBitsToDouble"), bits).cast("double").cast(kind)
+    return code.cast(kind)
 
 
 def _code(c: Column) -> Column:
@@ -35,16 +67,19 @@ def _raise(prefix: Column, shift: Column) -> Column:
 def top_by_bisection(df: DataFrame, group: str, score: str, ident: str, n: int) -> DataFrame:
     """The ``n`` rows of each group with the highest ``score``, the smaller ``ident`` first among equals.
 
-    Columns ``group``, ``score``, ``ident`` (the last two as bigint). The cutoff of a group is found on its order-preserving code, the
+    Columns ``group``, ``score``, ``ident``, of their own types: whole numbers, decimals of up to 18 digits, and for scores float and double; others raise TypeError. The cutoff of a group is found on its order-preserving code, the
     score followed by the identifier: each round counts, in all open groups at once, the rows above the midpoints of the
     group's interval, and keeps the part that holds the n-th row. A group is closed as soon as its interval holds exactly the rows it
     still needs, so only rows that a round leaves undecided are read again. No group is ever gathered, and counts
     combine map-side; a hot group's rows are joined with their cutoff where they lie.
 
     Groups of fewer than ``n`` rows come out whole. Rows equal in group, score and identifier are one item. A null group is a
-    group; rows without a score or an identifier are no items. ``n`` below 1 or an empty table gives no rows.
+    group; rows without a score (null, NaN) or an identifier are no items. ``n`` below 1 or an empty table gives no rows.
     """
-    rows = df.select(F.col(group).alias("g"), F.col(score).cast("long").alias("s"), F.col(ident).cast("long").alias("i")).where("s is not null and i is not null")
+    kinds = {c: df.schema[c].dataType for c in (score, ident)}
+    if isinstance(kinds[ident], T.FractionalType) and not isinstance(kinds[ident], T.DecimalType):
+        raise TypeError("an identifier is no fraction")
+    rows = df.select(F.col(group).alias("g"), _whole(F.col(score), kinds[score], "score").alias("s"), _whole(F.col(ident), kinds[ident], "identifier").alias("i")).where("s is not null and i is not null")
     rows = rows.groupBy("g", "s", "i").agg(F.lit(1).alias("one"))
     coded = rows.select(F.struct("g").alias("k"), _code(F.col("s")).alias("s"), _code(F.bitwise_not(F.col("i"))).alias("i"))
     coded = cut_lineage(coded)
@@ -69,7 +104,9 @@ def top_by_bisection(df: DataFrame, group: str, score: str, ident: str, n: int)
         value = F.when(F.col("phase") == 0, F.col("s")).otherwise(F.col("i"))
         slot = _high(value, F.col("shift") - step).bitwiseAND((1 << BITS) - 1)
         open_rows = joined.where(inside).withColumn("slot", F.when(step == BITS, slot).otherwise(slot.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), step) - 1)))
-        left = cut_lineage(open_rows.select("k", "s", "i", "slot"))
+        done, left = left, cut_lineage(open_rows.select("k", "s", "i", "slot"))
+        if done is not coded:
+            discard(done)
         counts = left.groupBy("k", "slot").agg(F.count(F.lit(1)).alias("c"))
         w = Window.partitionBy("k").orderBy(F.desc("slot"))
         tally = counts.withColumn("upto", F.sum("c").over(w)).join(state.withColumnRenamed("n", "size"), "k")
@@ -89,7 +126,7 @@ def top_by_bisection(df: DataFrame, group: str, score: str, ident: str, n: int)
     kept = skew_safe_join(coded, cutoffs, "k", F.col("n"), total, sums.groups)
     above, equal = signed("s") > signed("cut_s"), F.col("s") == F.col("cut_s")
     kept = kept.where(F.lit(n > 0) & (above | (equal & (signed("i") >= signed("cut_i")))))
-    return kept.select(F.col("k.g").alias(group), signed("s").alias(score), F.bitwise_not(signed("i")).alias(ident))
+    return kept.select(F.col("k.g").alias(group), _value(signed("s"), kinds[score]).alias(score), _value(F.bitwise_not(signed("i")), kinds[ident]).alias(ident))
 
 
 def _to_identifier(state: DataFrame) -> DataFrame:

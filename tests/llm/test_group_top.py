@@ -36,9 +36,34 @@ def test_empty_and_clashing_columns(spark):
 def test_groups_beyond_the_broadcast_bound(spark, monkeypatch):
     from axonframe.plans import joins
 
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
     monkeypatch.setattr(joins, "HOT_GROUPS", 5)
     r = random.Random(8)
     rows = [(r.choice([1] * 30 + list(range(20))), r.randint(0, 4), i) for i in range(900)]
     got = top_by_bisection(spark.createDataFrame(rows, SCHEMA), "g", "s", "i", 3).collect()
     assert set(map(tuple, got)) == brute(rows, 3) and len(got) == len(brute(rows, 3))
+
+
+@pytest.mark.parametrize("kind", ["double", "float", "decimal(10,2)"])
+def test_fractional_scores(spark, kind):
+    from decimal import Decimal
+
+    make = (lambda x: Decimal(str(x))) if kind.startswith("decimal") else float
+    values = [1.9, 1.2, -1.5, -1.25, 0.0, -0.0, 0.5, 1.9, -3.75, 2048.25]
+    rows = [(k % 3, make(v), k) for k, v in enumerate(values * 3)] + [(7, make(1.2), 1), (7, make(1.9), 2), (7, None, 3)]
+    if not kind.startswith("decimal"):
+        rows += [(7, float("nan"), 4), (8, float("inf"), 1), (8, float("-inf"), 2), (8, 1e30, 3)]
+    df = spark.createDataFrame(rows, f"g bigint, s {kind}, i int")
+    got = top_by_bisection(df, "g", "s", "i", 1)
+    want = {}
+    for g, s, i in df.collect():
+        if s is not None and s == s and (g not in want or (s, -i) > (want[g][0], -want[g][1])):
+            want[g] = (s, i)
+    assert {r.g: (r.s, r.i) for r in got.collect()} == want and got.schema["s"].dataType == df.schema["s"].dataType
+
+
+def test_types_without_an_order_of_64_bits(spark):
+    df = spark.createDataFrame([(1, "a", 1.5)], "g int, s string, i double")
+    for score, ident in (("s", "g"), ("g", "i")):
+        with pytest.raises(TypeError):
+            top_by_bisection(df, "g", score, ident, 1)
