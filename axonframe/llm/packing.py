@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from axonframe.llm.rows import number_copies
 from axonframe.plans import cut_lineage
 
 
@@ -17,13 +18,14 @@ from axonframe.plans import cut_lineage
 class Capacity:
     """What a container holds at most.
 
-    ``cost`` bounds the sum of squared piece lengths (the cost of attention within pieces) as a share of ``tokens`` squared;
-    a piece that fills a container has share 1.
+    ``cost`` bounds the cost of attention within pieces: their squared lengths as shares of ``tokens`` squared, summed over all pieces but the
+    largest. The largest is left out because its cost is the same wherever it lies, and no piece may be cut for its cost; so a container costs at most
+    ``cost`` more than a piece of its own would. Sums of squares of shares beside a larger one reach 0.25, so a bound below that binds.
     """
 
     tokens: int = 8192
     documents: int = 256
-    cost: float = 1.0
+    cost: float = 0.2
     #: Weights of the residual tokens, documents and cost in the choice of a container.
     weights: tuple[float, float, float] = (1.0, 0.05, 0.25)
     #: ``norm`` prefers the container left with the smallest weighted residual, ``dot`` the one whose residual points the item's way.
@@ -41,7 +43,9 @@ def token_count(text: Column) -> Column:
 
 def best_fit(sizes: np.ndarray, cap: Capacity) -> np.ndarray:
     """Container number of each item of at most ``cap.tokens`` tokens: items in falling size, each into the open container that the rule
-    prefers among those with room for it under every constraint, or into a new one."""
+    prefers among those with room for it under every constraint, or into a new one. An item over ``cap.tokens`` raises ValueError."""
+    if len(sizes) and sizes.max() > cap.tokens or cap.documents < 1:
+        raise ValueError(f"an item of {sizes.max()} tokens and a container of {cap.tokens}")
     order = np.argsort(-sizes, kind="stable")
     n = len(sizes)
     total = np.array([1.0, 1.0, cap.cost])
@@ -64,6 +68,7 @@ def best_fit(sizes: np.ndarray, cap: Capacity) -> np.ndarray:
         else:
             at = n_live
             rest[:, at] = total
+            need[2] = 0.0  # the first is the largest
             live[at] = opened
             opened += 1
             n_live += 1
@@ -76,15 +81,16 @@ def best_fit(sizes: np.ndarray, cap: Capacity) -> np.ndarray:
     return place
 
 
-_PLACED = "shard long, item_id long, piece int, start long, n_tokens long, bin long"
+_PLACED = "shard long, item_id long, copy long, piece int, start long, n_tokens long, bin long"
+_ITEM = ["item_id", "copy", "piece", "start", "n_tokens"]
 
 
 def _pack_shard(cap: Capacity):
     def pack(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values(["item_id", "piece"], kind="stable")
+        p = p.sort_values(["item_id", "copy", "piece"], kind="stable", na_position="first")
         p["bin"] = best_fit(p["n_tokens"].to_numpy(dtype=np.int64), cap)
         p["shard"] = key[0]
-        return p[["shard", "item_id", "piece", "start", "n_tokens", "bin"]]
+        return p[["shard", *_ITEM, "bin"]]
 
     return pack
 
@@ -98,21 +104,21 @@ def pack_documents(documents: DataFrame, cap: Capacity = Capacity(), doc: str =
     tenths) are opened again and packed once more together, in fewer shards.
 
     A null or empty text is one token. Rows with one id are packed as separate documents of that id; a null id is kept. An empty table
-    gives no rows.
+    gives no rows. The result follows from ids and sizes alone, not from where rows lie.
     """
-    sized = documents.select(F.col(doc).cast("long").alias("item_id"), token_count(F.col(text)).alias("size"))
+    sized = number_copies(documents.select(F.col(doc).cast("long").alias("item_id"), token_count(F.col(text)).alias("size")))
     full = F.floor((F.col("size") - 1) / cap.tokens).cast("int")
-    pieces = sized.select("item_id", "size", F.explode(F.sequence(F.lit(0), full)).alias("piece"))
+    pieces = sized.select("item_id", "copy", "size", F.explode(F.sequence(F.lit(0), full)).alias("piece"))
     pieces = pieces.withColumn("start", F.col("piece").cast("long") * cap.tokens).withColumn("n_tokens", F.least(F.lit(cap.tokens).cast("long"), F.col("size") - F.col("start"))).drop("size")
     # the pieces that fill a container alone need no packing
-    filled = pieces.where(F.col("n_tokens") == cap.tokens).select(F.monotonically_increasing_id().alias("bin"), F.lit(-1).cast("long").alias("shard"), "item_id", "piece", "start", "n_tokens")
+    alone = F.concat_ws("-", F.lit("f"), "item_id", "copy", "piece")
+    filled = pieces.where(F.col("n_tokens") == cap.tokens).select(alone.alias("container"), *_ITEM)
     part = cut_lineage(pieces.where(F.col("n_tokens") < cap.tokens))
     shards = max(1, math.ceil(part.count() / shard_items))
 
     def spread(df: DataFrame, n: int, salt: int) -> DataFrame:
-        """Rows of a written table by shard, each shard in a partition of its own: packing is work, however few the bytes are. The shard follows
-        from the row's place, so that rows of one id spread too."""
-        shard = F.pmod(F.xxhash64(F.lit(salt), F.monotonically_increasing_id()), F.lit(n)).cast("int")
+        """Rows by shard, each shard in a partition of its own: packing is work, however few the bytes are. Rows of one id spread too."""
+        shard = F.pmod(F.xxhash64(F.lit(salt), "item_id", "copy", "piece"), F.lit(n)).cast("int")
         return df.withColumn("shard", shard).repartitionById(n, F.col("shard")).groupBy("shard")
 
     first = cut_lineage(spread(part, shards, 0).applyInPandas(_pack_shard(cap), _PLACED))
@@ -120,7 +126,14 @@ def pack_documents(documents: DataFrame, cap: Capacity = Capacity(), doc: str =
     loose = fill.where((F.col("t") < 0.9 * cap.tokens) & (F.col("d") < cap.documents)).select("shard", "bin", F.lit(True).alias("loose"))
     marked = cut_lineage(first.join(loose, ["shard", "bin"], "left"))
     kept = marked.where("loose is null").drop("loose")
-    again = spread(marked.where("loose").drop("shard", "bin", "loose"), max(1, shards // 16), 1).applyInPandas(_pack_shard(cap), _PLACED).withColumn("shard", -2 - F.col("shard"))
-    placed = filled.unionByName(kept).unionByName(again)
-    name = F.concat_ws("-", F.when(F.col("shard") == -1, "f").when(F.col("shard") >= 0, "s").otherwise("t"), F.abs(F.col("shard")).cast("string"), F.col("bin").cast("string"))
-    return placed.select(name.alias("container"), F.col("item_id").alias("doc_id"), "piece", "start", "n_tokens")
+    again = spread(marked.where("loose").drop("shard", "bin", "loose"), max(1, shards // 16), 1).applyInPandas(_pack_shard(cap), _PLACED)
+    named = lambda df, mark: df.select(F.concat_ws("-", F.lit(mark), "shard", "bin").alias("container"), *_ITEM)
+    placed = filled.unionByName(named(kept, "s")).unionByName(named(again, "t"))
+    return placed.select("container", F.col("item_id").alias("doc_id"), "piece", "start", "n_tokens")
+
+
+def container_load(placed: DataFrame, cap: Capacity) -> DataFrame:
+    """Per container how much of each capacity is used, as shares: ``tokens``, ``documents``, ``cost``."""
+    share = F.col("n_tokens") / cap.tokens
+    sums = placed.groupBy("container").agg(F.sum(share).alias("tokens"), (F.count(F.lit(1)) / cap.documents).alias("documents"), (F.sum(share * share) - F.max(share * share)).alias("cost"))
+    return sums.withColumn("cost", F.col("cost") / cap.cost)
