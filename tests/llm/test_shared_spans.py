@@ -42,19 +42,17 @@ def corpus(seed, n_docs, alphabet="abcdé字😀"):
     return docs
 
 
-@pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("direct", [10_000, 1])
-def test_pairs_equal_brute_force(spark, seed, direct, monkeypatch):
+@pytest.mark.parametrize(("seed", "direct", "fan"), [(0, 10_000, 4096), (1, 1, 4096), (2, 10_000, 1)])
+def test_pairs_equal_brute_force(spark, seed, direct, fan, monkeypatch):
     monkeypatch.setattr(S, "DIRECT", direct)
     docs = corpus(seed, 40)
     df = spark.createDataFrame(docs, SCHEMA)
-    got = S.shared_pairs(df, min_span=20, chunk_chars=900).collect()
+    got = S.shared_pairs(df, min_span=20, chunk_chars=400, fan=fan).collect()
     assert len(got) == len(set(got)) and set(map(tuple, got)) == brute_pairs(docs, 20)
 
 
-@pytest.mark.parametrize("direct", [10_000, 1])
-def test_share_equals_brute_force(spark, direct, monkeypatch):
-    monkeypatch.setattr(S, "DIRECT", direct)
+def test_share_equals_brute_force(spark):
+    """Some anchors here have few blocks, some more than a span has ways to lie over them."""
     docs = corpus(9, 30) + [(1, "x" * 300), (2, "x" * 70 + "y"), (3, "xy" * 80), (4, "")]
     df = spark.createDataFrame(docs, SCHEMA)
     got = {r.doc_id: (r.n_chars, r.shared_chars) for r in S.shared_share(df, min_span=20, chunk_chars=900).collect()}
@@ -104,7 +102,7 @@ def test_nulls_empty_and_clashing_columns(spark):
     df = spark.createDataFrame([(1, p, 0, 0), (2, p, 0, 0), (None, p, 0, 0), (3, None, 0, 0), (4, "", 0, 0)], SCHEMA + ", chunk int, fp int")
     assert set(map(tuple, S.shared_pairs(df, min_span=20).collect())) == {(1, 2)}
     share = {r.doc_id: tuple(r)[1:] for r in S.shared_share(df, min_span=20).collect()}
-    assert share[1] == (26, 26, 1) and share[3] == share[4] == (0, 0, 0)
+    assert share[1] == (26, 26) and share[3] == share[4] == (0, 0)
     empty = spark.createDataFrame([], SCHEMA)
     assert S.shared_pairs(empty).count() == S.shared_runs(empty).count() == S.shared_share(empty).count() == 0
 
@@ -112,6 +110,6 @@ def test_nulls_empty_and_clashing_columns(spark):
 def test_pack_round_trip():
     import numpy as np
 
-    for values in ([], [0], [5, 300, 2**32 - 1], list(range(1000)), [254, 255, 510, 766]):
-        a = np.array(values, dtype=np.uint32)
+    for values in ([], [0], [5, 300, 2**32 - 1], list(range(1000)), [254, 255, 510, 766], [65535, 65536, 2**60], [k * 999 for k in range(99)], [k << 20 for k in range(9)]):
+        a = np.array(values, dtype=np.uint64)
         assert (S._unpack(S._pack(a)) == a).all()
