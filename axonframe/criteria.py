@@ -17,6 +17,14 @@ from axonframe.model.spec import MULTI_SEP
 INLINE_IDS = 1000
 
 
+class UnknownColumn(ValueError):
+    """A selection by a column that the annotations lack."""
+
+    def __init__(self, message: str, column: str):
+        super().__init__(message)
+        self.column = column
+
+
 @dataclass(frozen=True)
 class Criteria:
     """Filters that all must hold; a list of values means any of them."""
@@ -105,9 +113,9 @@ def predicate(c: Criteria, columns: list[str], where: str = "these annotations")
     for name, value in c.filters().items():
         if name not in columns:
             if name == "type":
-                raise ValueError(f"{where} have no types; select by id or another column")
+                raise UnknownColumn(f"{where} have no types; select by id or another column", name)
             near = difflib.get_close_matches(name, columns, 1)
-            raise ValueError(f"{where} have no column {name!r}" + (f"; did you mean {near[0]!r}?" if near else ""))
+            raise UnknownColumn(f"{where} have no column {name!r}" + (f"; did you mean {near[0]!r}?" if near else ""), name)
         tests.append(matches(F.col(name), value, c.regex))
     if not tests:
         raise ValueError("a selection needs at least one criterion")

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import UTC, datetime
-from functools import cached_property, wraps
+from functools import cached_property, reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +20,11 @@ from axonframe.model.spec import Cap, DatasetSpec, NtTable, StoreSpec
 from axonframe.model.version import Version, find_version, resolve_version, sort_versions
 from axonframe.operators import connectivity as C
 from axonframe.operators import graph_history as G
+from axonframe.operators import meshes as M
 from axonframe.operators import regions as R
 from axonframe.operators import skeletons as K
 from axonframe.operators import sparse_volume as V
+from axonframe.sources.cache import TableCache
 from axonframe.sources.readers import freshness, read_annotations
 
 
@@ -85,10 +88,16 @@ class _Part:
     def __init__(self, ds: Dataset):
         self.ds = ds
 
+    def _as_of(self, version: object):
+        """This part of the handle at another version, for one call."""
+        return self if version is None else type(self)(self.ds.at(version))
+
 
 class Annotations(_Part):
-    def get(self, x: object = None, *, fields: Mapping | None = None, source: str | None = "auto", raw: bool = False, units: str = "nm", **filters) -> DataFrame:
+    def get(self, x: object = None, *, fields: Mapping | None = None, source: str | None = "auto", raw: bool = False, units: str = "nm", version: object = None, **filters) -> DataFrame:
         """The canonical table of a source, of selected neurons and filtered by columns; ``raw`` gives it as stored."""
+        if version is not None:
+            return self._as_of(version).get(x, fields=fields, source=source, raw=raw, units=units, **filters)
         df = self.ds._annotations(source, fields, raw, units)
         if x is not None:
             df = C.restrict(df, "id", self.ds.ids(x))
@@ -116,18 +125,30 @@ class Annotations(_Part):
 class Connectivity(_Part):
     @needs(Cap.CONNECTIVITY)
     def edges(
-        self, x: object, *, upstream: bool = True, downstream: bool = True, by_roi: object = UNSET, rois: object = UNSET, min_weight: int = 1, min_total_weight: int = 1, autapses: bool = False, extra: bool = False
+        self, x: object, *, upstream: bool = True, downstream: bool = True, by_roi: object = UNSET, rois: object = UNSET, min_weight: int = 1, min_total_weight: int = 1, autapses: bool = False, extra: bool = False, version: object = None
     ) -> DataFrame:
-        """Edges that touch the selection. Regions are refused where the dataset has none; an empty selection gives an empty table."""
+        """Edges that touch the selection. Regions are refused where the dataset has none; an empty selection gives an empty table.
+
+        ``extra`` keeps all columns of the edge view; it is refused where no view serves the request. Without a view, a handle with a cache keeps the whole edge table of its
+        version and filters that.
+        """
+        if version is not None:
+            return self._as_of(version).edges(x, upstream=upstream, downstream=downstream, by_roi=by_roi, rois=rois, min_weight=min_weight, min_total_weight=min_total_weight, autapses=autapses, extra=extra)
         by_roi = self.ds.optional(by_roi, False, Cap.ROI_CONN)
         rois = self.ds.optional(rois, None, Cap.ROI_CONN)
         view = self.ds.table("edge_view", missing=None)
-        if extra and view is not None and not by_roi and rois is None:
+        if view is not None:
+            view = N.rename_consuming(view, self.ds.store.names("edges"))
+        if extra:
+            if view is None or by_roi or rois is not None:
+                raise CapabilityError("extra columns come from an edge view, for requests that name no regions")
             rows = C.touching(view, self._selection(x), upstream, downstream)
             rows = rows if autapses else rows.where("pre <> post")
             return N.lead_with(rows.where(F.col("weight") >= min_weight), ["pre", "post", "weight"])
         if rois is not None:
-            rois = self.ds.rois.expand(rois) if Cap.ROIS in self.ds.capabilities and self.ds.table("roi_tree", missing=None) is not None else list(rois)
+            rois = self._regions(rois)
+        if view is None and self.ds.cache is not None and not by_roi and rois is None:
+            view = self.ds.kept("edges", lambda: C.aggregate_edges(self.ds._synapses()))
         synapses = self.ds._synapses() if view is None or by_roi or rois is not None else None
         return C.edges(synapses, self._selection(x), edge_view=view, upstream=upstream, downstream=downstream, by_roi=by_roi, rois=rois, min_weight=min_weight, min_total_weight=min_total_weight, autapses=autapses)
 
@@ -138,14 +159,26 @@ class Connectivity(_Part):
         return ids if ids is not None else self.ds.ids(x)
 
     @needs(Cap.CONNECTIVITY)
-    def adjacency(self, sources: object, targets: object = None, *, min_weight: int = 1, autapses: bool = False) -> DataFrame:
+    def adjacency(self, sources: object, targets: object = None, *, min_weight: int = 1, autapses: bool = False, dense: bool = True, version: object = None) -> DataFrame:
+        """The matrix in long form; ``dense=False`` leaves its zeros out."""
+        if version is not None:
+            return self._as_of(version).adjacency(sources, targets, min_weight=min_weight, autapses=autapses, dense=dense)
         s = self.ds.ids(sources)
         t = s if targets is None else self.ds.ids(targets)
-        return C.adjacency(self.edges(s, upstream=False, min_weight=min_weight, autapses=autapses), s, t)
+        make = C.adjacency if dense else C.adjacency_sparse
+        return make(self.edges(s, upstream=False, min_weight=min_weight, autapses=autapses), s, t)
 
     @needs(Cap.SYNAPSES)
-    def synapses(self, x: object, *, pre: bool = True, post: bool = True, min_score: object = UNSET, transmitters: object = UNSET, rois: object = UNSET, units: str = "nm") -> DataFrame:
-        """Synapses that touch the selection, each once."""
+    def synapses(self, x: object, *, pre: bool = True, post: bool = True, min_score: object = UNSET, transmitters: object = UNSET, rois: object = UNSET, units: str = "nm", version: object = None) -> DataFrame:
+        """Synapses that touch the selection, each once, canonical columns first. Without an id column, ids number the rows of the result."""
+        if version is not None:
+            return self._as_of(version).synapses(x, pre=pre, post=post, min_score=min_score, transmitters=transmitters, rois=rois, units=units)
+        df = self._touching(x, pre, post, min_score, transmitters, rois)
+        df = df if "id" in df.columns else N.number_rows(df)
+        df = N.to_units(df, ["pre", "post"], self.ds.spec.voxel_size, units, self.ds.store.position_units)
+        return N.lead_with(df, list(N.SYNAPSE_TYPES))
+
+    def _touching(self, x: object, pre: bool, post: bool, min_score: object, transmitters: object, rois: object) -> DataFrame:
         min_score = self.ds.optional(min_score, None, Cap.SYNAPSE_SCORES)
         transmitters = self.ds.optional(transmitters, False, Cap.NT_PER_SYNAPSE)
         rois = self.ds.optional(rois, None, Cap.ROI_CONN)
@@ -154,18 +187,24 @@ class Connectivity(_Part):
             if "score" not in df.columns:
                 raise CapabilityError("the synapse table has no score column")
             df = df.where(F.col("score") >= min_score)
-        if rois is not None:
-            df = df.where(F.col("roi").isin(list(rois)))
-        return N.to_units(df, ["pre", "post"], self.ds.spec.voxel_size, units, self.ds.store.position_units)
+        return df if rois is None else df.where(F.col("roi").isin(self._regions(rois)))
+
+    def _regions(self, rois: object) -> list[str]:
+        """Primary regions in or under the named ones, where the dataset has a tree of regions."""
+        if Cap.ROIS in self.ds.capabilities and self.ds.table("roi_tree", missing=None) is not None:
+            return self.ds.rois.expand(rois)
+        return [rois] if isinstance(rois, str) else list(rois)
 
     @needs(Cap.CONNECTIVITY)
-    def synapse_counts(self, x: object, *, by_roi: object = UNSET, autapses: bool = False) -> DataFrame:
+    def synapse_counts(self, x: object, *, by_roi: object = UNSET, autapses: bool = False, version: object = None) -> DataFrame:
+        if version is not None:
+            return self._as_of(version).synapse_counts(x, by_roi=by_roi, autapses=autapses)
         by = self.ds.optional(by_roi, False, Cap.ROI_CONN)
         return C.synapse_counts(self.edges(x, by_roi=by_roi, autapses=autapses), self.ds.ids(x), by)
 
     @needs(Cap.NT_PER_SYNAPSE)
-    def transmitters(self, x: object) -> DataFrame:
-        return C.transmitter_votes(self.synapses(x, post=False, transmitters=True))
+    def transmitters(self, x: object, *, version: object = None) -> DataFrame:
+        return C.transmitter_votes(self._as_of(version)._touching(x, True, False, UNSET, True, UNSET))
 
 
 class Regions(_Part):
@@ -179,10 +218,17 @@ class Regions(_Part):
         names = [names] if isinstance(names, str) else list(names)
         return sorted(r.roi for r in R.expand(names, self.hierarchy(), self.list().where("primary")).collect())
 
+    def mesh(self, names: str | Sequence[str], *, lod: int | None = None, lod_fallback: bool = False) -> tuple[DataFrame, DataFrame]:
+        """Vertices and faces of the surfaces of regions, whose names are the ids."""
+        names = [names] if isinstance(names, str) else list(names)
+        return M.read_meshes(self.ds.table("roi_meshes").where(F.col("id").isin(names)), lod, self.ds.spec.mesh_lod, lod_fallback)
+
 
 class Somas(_Part):
-    def get(self, x: object = None, units: str = "nm") -> DataFrame:
+    def get(self, x: object = None, units: str = "nm", version: object = None) -> DataFrame:
         """Soma positions in the units that the store declares for them, converted."""
+        if version is not None:
+            return self._as_of(version).get(x, units)
         df = self.ds.table("nucleus")
         if x is not None:
             df = C.restrict(df, "id", self.ds.ids(x))
@@ -201,11 +247,9 @@ class Proofreading(_Part):
 
     def lineage(self, ids: object) -> DataFrame:
         """All former and later roots of the roots, through merges and splits: ``id``, ``root``, ``depth`` (negative: former)."""
-        tree = self.ds.table("lineage")
-        want = self.ds.ids(ids)
-        pairs = R.closure(tree)
-        later = pairs.join(want.select(F.col("id").alias("ancestor")), "ancestor", "left_semi").select(F.col("ancestor").alias("id"), F.col("descendant").alias("root"), "depth")
-        former = pairs.where("depth > 0").join(want.select(F.col("id").alias("descendant")), "descendant", "left_semi").select(F.col("descendant").alias("id"), F.col("ancestor").alias("root"), (-F.col("depth")).alias("depth"))
+        tree, want = self.ds.table("lineage"), self.ds.ids(ids)
+        later = R.reach(want, tree, "parent", "child")
+        former = R.reach(want, tree, "child", "parent").where("depth > 0").withColumn("depth", -F.col("depth"))
         return later.unionByName(former)
 
 
@@ -239,58 +283,171 @@ class Graph(_Part):
 
 
 class Segmentation(_Part):
+    """Segments at points, and the voxels of segments.
+
+    A flat volume (table ``runs``, of neurons) has no versions. A chunked graph answers for its version: the volume of supervoxels (table
+    ``supervoxel_runs``) says which lies at a point, the graph which root held it then; the volume that is shown plays no part in this.
+    """
+
+    def _voxels(self, points: DataFrame, units: str) -> DataFrame:
+        scaled = N.to_units(points, [""], self.ds.spec.voxel_size, "voxel", units)
+        return scaled.withColumns({a: F.floor(a).cast("int") for a in "xyz"})
+
+    @needs(Cap.SEGMENTATION)
     def locs_to_segments(self, points: DataFrame, units: str = "nm", version: object = None) -> DataFrame:
-        """Segment at each point of a run-length or chunked volume; a flat volume has no versions."""
-        if version is not None and Cap.CHUNKEDGRAPH not in self.ds.capabilities:
+        """``points`` in voxels with ``segment``, that at each point; null for background."""
+        graph = Cap.CHUNKEDGRAPH in self.ds.capabilities
+        if version is not None and not graph:
             raise CapabilityError("a flat volume has no versions")
-        size = self.ds.spec.voxel_size
-        scaled = N.to_units(points, [""], size, "voxel", units)
-        voxel = scaled.withColumns({a: F.floor(a).cast("int") for a in "xyz"})
-        return V.segments_at(voxel, self.ds.table("runs"))
-
-    def neuron_to_segments(self, nodes: DataFrame, units: str = "nm") -> DataFrame:
+        if not graph or version is None and self.ds.table("supervoxel_runs", missing=None) is None:
+            return V.segments_at(self._voxels(points, units), self.ds.table("runs"))
+        found = self.supervoxels_to_roots(self.locs_to_supervoxels(points, units), version)
+        return found.drop("supervoxel").withColumnRenamed("root", "segment")
+
+    @needs(Cap.CHUNKEDGRAPH)
+    def locs_to_supervoxels(self, points: DataFrame, units: str = "nm") -> DataFrame:
+        """``points`` in voxels with ``supervoxel``, from the volume of the graph."""
+        return V.segments_at(self._voxels(points, units), self.ds.table("supervoxel_runs")).withColumnRenamed("segment", "supervoxel")
+
+    @needs(Cap.CHUNKEDGRAPH)
+    def supervoxels_to_roots(self, supervoxels: DataFrame, version: object = None) -> DataFrame:
+        """Rows with ``supervoxel`` and the ``root`` that held it at the version, by default the handle's; now if that is live or has no time."""
+        ds = self.ds if version is None else self.ds.at(version)
+        at = None if ds.version_request == "live" or "versions" not in ds.store.tables else ds.version.timestamp
+        return G.roots_at(supervoxels, ds.table("graph"), F.current_timestamp() if at is None else F.lit(at)).drop("at")
+
+    def neuron_to_segments(self, nodes: DataFrame, units: str = "nm", version: object = None) -> DataFrame:
         """Segments under the nodes of each neuron, with counts."""
-        return self.locs_to_segments(nodes, units).where("segment is not null").groupBy("id", "segment").agg(F.count(F.lit(1)).alias("n"))
+        return self.locs_to_segments(nodes, units, version).where("segment is not null").groupBy("id", "segment").agg(F.count(F.lit(1)).alias("n"))
+
+    @needs(Cap.SEGMENTATION)
+    def get_voxels(self, segment: int) -> DataFrame:
+        """The voxels of one segment, whether the graph knows it or not."""
+        return V.decode_runs(self.ds.table("runs").where(F.col("id") == int(segment))).select("x", "y", "z")
+
+    @needs(Cap.SEGMENTATION)
+    def get_segmentation_cutout(self, low: Sequence[float], high: Sequence[float], units: str = "nm") -> DataFrame:
+        """Voxels ``x``, ``y``, ``z`` with ``segment`` in a half-open box, rounded outward; runs outside are left out before any is taken apart."""
+        per = {"nm": self.ds.spec.voxel_size, "voxel": (1.0, 1.0, 1.0), "um": [v / 1e3 for v in self.ds.spec.voxel_size]}[units]
+        lo, hi = [math.floor(a / p) for a, p in zip(low, per, strict=True)], [math.ceil(a / p) for a, p in zip(high, per, strict=True)]
+        runs = self.ds.table("runs").where((F.col("x") < hi[0]) & (F.col("x") + F.col("len") > lo[0]) & (F.col("y") >= lo[1]) & (F.col("y") < hi[1]) & (F.col("z") >= lo[2]) & (F.col("z") < hi[2]))
+        return V.cutout(V.decode_runs(runs), lo, hi).select("x", "y", "z", F.col("id").alias("segment"))
 
 
 class Voxels(_Part):
-    def get(self, x: object, *, output: str = "voxels", scale: int | None = None, units: str = "voxel", force: bool = False) -> DataFrame:
-        """Sparse volumes: ``voxels`` or ``runs``. A dense read over the ceiling is refused before it starts."""
-        if output not in ("voxels", "runs"):
-            raise ValueError(f"unknown output {output!r}")
-        runs = C.restrict(self.ds.table("runs"), "id", self.ds.ids(x))
-        if self.ds.spec.sparse_volumes and scale is not None:
-            self.ds.spec.sparse_volumes.resolution(self.ds.spec.voxel_size, scale)
-        if output == "runs":
-            return runs
-        if not force:
-            V.refuse_large(runs, (64, 64, 64))
-        out = V.decode_runs(runs)
-        return N.to_units(out, [""], self.ds.spec.voxel_size, units, "voxel")
+    """Sparse volumes, by one of three routes: a service that serves some scales, an index of runs per neuron, or a dense read of the blocks that a neuron occupies."""
 
-    def count(self, x: object) -> DataFrame:
-        return V.voxel_count(C.restrict(self.ds.table("runs"), "id", self.ds.ids(x)), ["id"])
+    #: Scale of a request that names none; never the finest. A dense read costs what it touches, so it starts coarser.
+    PREFERRED = {"index": 4, "dense": 6}
+    #: Options of each route.
+    OPTIONS = {"service": frozenset(), "index": frozenset(), "dense": frozenset({"force", "max_chunks"})}
 
-    def estimate(self, x: object, block: Sequence[int] = (64, 64, 64)) -> DataFrame:
-        return V.estimate_cost(C.restrict(self.ds.table("runs"), "id", self.ds.ids(x)), block)
+    @property
+    def route(self) -> str:
+        return "service" if self.ds.spec.sparse_volumes else "index" if self.ds.store.kind == "neuprint" else "dense"
 
     def scales(self) -> tuple[int, ...]:
-        return self.ds.spec.sparse_volumes.scales if self.ds.spec.sparse_volumes else (0,)
+        return tuple(sorted(self.ds.spec.sparse_volumes.scales)) if self.ds.spec.sparse_volumes else tuple(range(self.ds.spec.n_scales))
+
+    def default_scale(self) -> int:
+        return min(self.scales()) if self.route == "service" else min(self.PREFERRED[self.route], max(self.scales()))
+
+    def resolution(self, scale: int | None = None) -> tuple[float, ...]:
+        """Nanometres per voxel at a scale."""
+        scale = self._scale(scale)
+        if self.ds.spec.voxel_size is None:
+            raise ValueError("the dataset has no voxel size")
+        step = self.ds.spec.sparse_volumes.downsample if self.ds.spec.sparse_volumes else self.ds.spec.downsample
+        return tuple(v * d**scale for v, d in zip(self.ds.spec.voxel_size, step, strict=True))
+
+    def _scale(self, scale: int | None) -> int:
+        if scale is None:
+            return self.default_scale()
+        if scale not in self.scales():
+            raise ValueError(f"scale {scale} is not served; there are {', '.join(map(str, self.scales()))}")
+        return scale
+
+    def _runs(self, x: object, scale: int) -> DataFrame:
+        """Runs of the selected neurons at a scale: the stored ones, or the finest stored ones made coarser."""
+        stored = self.ds.table(f"runs_{scale}", missing=None)
+        if stored is not None:
+            return C.restrict(stored, "id", self.ds.ids(x))
+        step = self.ds.spec.sparse_volumes.downsample if self.ds.spec.sparse_volumes else self.ds.spec.downsample
+        return V.coarser(C.restrict(self.ds.table("runs"), "id", self.ds.ids(x)), [d**scale for d in step], ["id"])
+
+    def get(self, x: object, *, output: str = "voxels", scale: int | None = None, units: str = "voxel", version: object = None, **options: object) -> DataFrame:
+        """Sparse volumes at a scale, as ``voxels`` or ``runs``. A dense read over the ceiling is refused before it starts, unless it is forced."""
+        if version is not None:
+            return self._as_of(version).get(x, output=output, scale=scale, units=units, **options)
+        if output not in ("voxels", "runs"):
+            raise ValueError(f"unknown output {output!r}")
+        if strange := sorted(set(options) - self.OPTIONS[self.route]):
+            others = sorted(r for r, o in self.OPTIONS.items() if o & set(strange))
+            raise TypeError(f"the {self.route} route takes no {', '.join(strange)}" + (f" (the {' or '.join(others)} route does)" if others else ""))
+        scale = self._scale(scale)
+        runs = self._dense(x, scale, **options) if self.route == "dense" and self.ds.table("runs", missing=None) is None else self._runs(x, scale)
+        if output == "runs":
+            return runs
+        return N.to_units(V.decode_runs(runs), [""], self.resolution(scale) if self.ds.spec.voxel_size else None, units, "voxel")
+
+    def _dense(self, x: object, scale: int, force: bool = False, max_chunks: int | None = None) -> DataFrame:
+        """Runs of roots by a dense read: the level-2 chunks of the roots name the blocks, and the supervoxels that the roots hold mask them."""
+        from axonframe.operators import dense_read as DR
+        from axonframe.sources.precomputed import Volume
+
+        url = self.ds.store.tables["volume"]
+        volume = Volume(url)
+        s = volume.scales[scale]
+        graph = self.ds.spec.graph_chunk
+        factor = [b / a for a, b in zip(volume.scales[0].resolution, s.resolution, strict=True)]
+        ids = self.ds.ids(x)
+        labels = C.restrict(self.ds.table("l2"), "id", ids).select(F.col("l2_id").alias("label"))
+        blocks = DR.occupied_blocks(labels, graph, s.chunk, factor)
+        if max_chunks is not None:
+            blocks, _ = DR.limit_blocks(blocks, max_chunks)
+        roots = C.restrict(self.ds.table("graph").where("valid_to is null"), "root", ids).select("supervoxel", "root")
+        return DR.dense_volumes(blocks, url, scale, roots, s.chunk, force)
+
+    def count(self, x: object, scale: int | None = None) -> DataFrame:
+        return V.voxel_count(self._runs(x, self._scale(scale)), ["id"])
+
+    def estimate(self, x: object, scale: int | None = None, block: Sequence[int] = (64, 64, 64)) -> DataFrame:
+        """What a read at a scale would cost: ``route``, ``n_blocks``, ``n_voxels_read`` and ``refused``; the other routes make one request, whatever they return."""
+        if self.route == "dense":
+            return V.estimate_cost(self._runs(x, self._scale(scale)), block).select(F.lit("dense").alias("route"), "*")
+        return self.ds.spark.range(1).select(F.lit(self.route).alias("route"), F.lit(1).cast("long").alias("n_blocks"), F.lit(0).cast("long").alias("n_voxels_read"), F.lit(False).alias("refused"))
 
 
 class Skeletons(_Part):
-    def get(self, x: object) -> DataFrame:
+    def get(self, x: object, *, units: str = "nm", version: object = None) -> DataFrame:
         """Nodes of the first source that has a neuron: precomputed, service, level 2."""
-        want = self.ds.ids(x)
+        if version is not None:
+            return self._as_of(version).get(x, units=units)
+        want, names = self.ds.ids(x), self.ds.store.names("skeletons")
         found = [(n, self.ds.table(t, missing=None)) for n, t in (("precomputed", "skeletons"), ("service", "skeleton_service"), ("l2", "l2_skeletons"))]
-        sources = [(n, C.restrict(N.normalize_skeleton(t), "id", want)) for n, t in found if t is not None]
-        return K.pick_source(sources)
+        sources = [(n, C.restrict(N.normalize_skeleton(t, names), "id", want)) for n, t in found if t is not None]
+        return N.to_units(K.pick_source(sources), [""], self.ds.spec.voxel_size, units, self.ds.store.position_units if self.ds.store.kind == "neuprint" else "nm")
+
+    def segments(self, x: object, *, units: str = "nm") -> DataFrame:
+        return K.segments(self.get(x, units=units))
+
+    def dotprops(self, x: object, k: int = 5, units: str = "nm") -> DataFrame:
+        if units not in ("nm", "um"):
+            raise ValueError(f"tangents come in nm or um, not {units!r}")
+        return K.dotprops(self.get(x, units=units), k)
 
-    def segments(self, x: object) -> DataFrame:
-        return K.segments(self.get(x))
 
-    def dotprops(self, x: object, k: int = 5) -> DataFrame:
-        return K.dotprops(self.get(x), k)
+class Meshes(_Part):
+    @needs(Cap.MESHES)
+    def get(self, x: object, *, lod: int | None = None, lod_fallback: bool = False, version: object = None) -> tuple[DataFrame, DataFrame]:
+        """Vertices (``id``, ``vertex``, ``x``, ``y``, ``z``) and faces (``id``, ``a``, ``b``, ``c``) of neurons at a level of detail, 0 being the finest.
+
+        A negative level counts from the coarsest. The dataset's own level is clamped to what a neuron has; one that is asked for fails the query where a neuron lacks it, unless
+        ``lod_fallback`` allows its coarsest.
+        """
+        part = self._as_of(version)
+        fragments = C.restrict(part.ds.table("mesh_fragments"), "id", part.ds.ids(x))
+        return M.read_meshes(fragments, lod, self.ds.spec.mesh_lod, lod_fallback)
 
 
 class Level2(_Part):
@@ -308,11 +465,21 @@ class Level2(_Part):
 
 
 class Viewer(_Part):
-    def scene(self, x: object, *, colors: object = None, group_by: str | None = None, source: str = "", position: Sequence[float] | None = None) -> dict:
+    def scene(self, x: object, *, colors: object = None, group_by: str | None = None, source: str = "", position: Sequence[float] | None = None, points: Sequence[Sequence[float]] = (), skeletons: bool = False) -> dict:
+        """The state of a viewer that shows the neurons, with ``points`` (nm) and their skeletons if asked."""
+        size = self.ds.spec.voxel_size or (1.0, 1.0, 1.0)
         ids = [r.id for r in self.ds.ids(x).orderBy("id").limit(scenes.MOST_OBJECTS + 1).collect()]
         groups = scenes.labels_of(self.ds.annotations.get(), ids, group_by) if group_by else None
-        layer = scenes.segmentation_layer(self.ds.name, source or self.ds.store.source, ids, scenes.colour_ids(ids, colors, groups), dialect=self.ds.spec.viewer)
-        return scenes.scene([layer], self.ds.spec.voxel_size or (1.0, 1.0, 1.0), position)
+        layers = [scenes.segmentation_layer(self.ds.name, source or self.ds.volume_source(), ids, scenes.colour_ids(ids, colors, groups), dialect=self.ds.spec.viewer)]
+        if points:
+            layers.append(scenes.annotation_layer("points", points, voxel_size=size))
+        if skeletons:
+            layers.append(scenes.skeleton_layer("skeletons", self.ds.skeletons.segments(ids), size))
+        return scenes.scene(layers, size, position)
+
+    def url(self, x: object, viewer: str, **how: object) -> str:
+        """The address of the scene in a viewer."""
+        return scenes.scene_url(self.scene(x, **how), viewer)
 
 
 @dataclass(frozen=True)
@@ -327,6 +494,7 @@ class Dataset:
     kind: str | None = None
     tables: Callable[[str], DataFrame] | None = field(default=None, compare=False, repr=False)
     version_request: object = "latest"
+    cache: TableCache | None = field(default=None, compare=False, repr=False)
     fields: Mapping[str, Sequence[str]] = field(default_factory=dict, compare=False, repr=False)
 
     annotations = _Namespace(Cap.ANNOTATIONS, Annotations)
@@ -338,6 +506,7 @@ class Dataset:
     segmentation = _Namespace(Cap.SEGMENTATION, Segmentation)
     voxels = _Namespace(Cap.VOXELS, Voxels)
     skeletons = _Namespace(Cap.SKELETONS, Skeletons)
+    meshes = _Namespace(Cap.MESHES, Meshes)
     l2 = _Namespace(Cap.L2CACHE, Level2)
     viewer = _Namespace(Cap.NEUROGLANCER, Viewer)
 
@@ -373,6 +542,21 @@ class Dataset:
     def at(self, version: object) -> Dataset:
         return replace(self, version_request=version)
 
+    def through(self, kind: str) -> Dataset:
+        """The same dataset through another of its stores; nothing is read."""
+        self.spec.store(kind)
+        return replace(self, kind=kind, version_request="latest")
+
+    def volume_source(self) -> str:
+        """The segmentation volume that is shown: the spec's, else the one that the store names."""
+        return self.spec.segmentation_source or self.store.tables.get("volume", self.store.source)
+
+    def kept(self, kind: str, make: Callable[[], DataFrame], *parts: object, token: str | None = None) -> DataFrame:
+        """A table from the handle's cache, made if it is not there; without a cache, made."""
+        if self.cache is None:
+            return make()
+        return self.cache.get(self.cache.folder(self.name, self.version, kind, self.store.kind, *parts), token, make)
+
     def table(self, role: str, missing: object = ...) -> DataFrame | None:
         """The store's table of a role, at the handle's version if it is partitioned by version."""
         physical = self.store.tables.get(role)
@@ -405,22 +589,52 @@ class Dataset:
         if isinstance(x, DataFrame) or criteria.known_ids(x) is not None and side is None:
             return criteria.select_ids(None, x, spark=self.spark)
         self.require(Cap.ANNOTATIONS)
-        return criteria.select_ids(self._annotations("auto", None, False, "nm"), x, side, regex, self.spark)
+        try:
+            return criteria.select_ids(self._annotations("auto", None, False, "nm"), x, side, regex, self.spark)
+        except criteria.UnknownColumn as e:
+            raise criteria.UnknownColumn(str(e) + self._elsewhere(e.column), e.column) from None
+
+    def _elsewhere(self, column: str) -> str:
+        """A hint at the other annotation sources that have a column."""
+        found, used = [], self.spec.annotation_source("auto")
+        for s in self.spec.annotation_sources:
+            try:
+                if s is not used and column in self._annotations(s.name, None, False, "nm").columns:
+                    found.append(s.name)
+            except Exception:  # noqa: BLE001  (a source that cannot be read gives no hint)
+                continue
+        return f"; the source {' or '.join(found)} has it" if found else ""
 
     def exists(self, x: object) -> DataFrame:
         """``id``, ``exists``: whether a neuron is annotated or has synapses."""
-        return G.valid_ids(self.ids(x), self._annotations("auto", None, False, "nm").select(F.col("id"), F.lit(None).cast("timestamp").alias("valid_to")), "id").withColumnRenamed("valid", "exists")
+        ids = self.ids(x)
+        there = [self._annotations("auto", None, False, "nm").select("id")] if self.spec.annotation_source("auto") else []
+        if Cap.SYNAPSES in self.capabilities and self.table("synapses", missing=None) is not None:
+            there += [C.restrict(self._synapses(), c, ids).select(F.col(c).alias("id")) for c in ("pre", "post")]
+        if not there:
+            raise CapabilityError(f"{self.name} has neither annotations nor synapses to look at")
+        known = reduce(DataFrame.unionByName, there).distinct().withColumn("exists", F.lit(True))
+        return ids.join(known, "id", "left").select("id", F.coalesce("exists", F.lit(False)).alias("exists"))
 
     def _annotations(self, source: str | None, fields: Mapping | None, raw: bool, units: str) -> DataFrame:
         s = self.spec.annotation_source(source)
         if s is None:
             raise CapabilityError(f"{self.name} has no annotation source")
-        df = read_annotations(self.spark, s, str(self.version_request), self.tables)
+        read = lambda: read_annotations(self.spark, s, str(self.version_request), self.tables)
+        df = read() if self.cache is None else self.kept("annotations", read, s.name, token=self._freshness(read()))
         if raw:
             return df
         layered = dict(self.spec.fields) | dict(s.fields) | dict(self.fields) | dict(fields or {})
         return N.normalize_annotations(df, s.id_column, layered, self.spec.derive, self.spec.side_map, self.spec.voxel_size, s.units, units)
 
+    def _freshness(self, df: DataFrame) -> str | None:
+        """The token of a source's state; None, with which a kept table never ages, where it cannot be told."""
+        try:
+            modified = next((c for c in ("updated_at", "modified", "_mtime") if c in df.columns), None)
+            return freshness(df, modified).first().token
+        except Exception:  # noqa: BLE001  (any failure of the source means that nothing is known)
+            return None
+
     def _synapses(self, transmitters: bool = False) -> DataFrame:
         df = N.soft_cast(N.rename_consuming(self.table("synapses"), self.store.names("synapses")), N.SYNAPSE_TYPES)
         calls = self.store.transmitters if transmitters else None

@@ -64,44 +64,43 @@ def morton(x: Column, y: Column, z: Column, grid: Sequence[int]) -> Column:
     return out
 
 
-_M = (1 << 64) - 1
-
-
-def murmur_low64(key: int, seed: int = 0) -> int:
-    """Low 64 bits of the 128-bit x86 variant of MurmurHash3, of a key as eight bytes, little end first (a public algorithm)."""
-    w = (1 << 32) - 1
-    rot = lambda v, r: ((v << r) | (v >> (32 - r))) & w
-    c = (0x239B961B, 0xAB0E9789, 0x38B34AE5, 0xA1E38B93)
-    h = [seed & w] * 4
-    low, high = key & w, key >> 32 & w
-    h[1] ^= rot(high * c[1] & w, 16) * c[2] & w
-    h[0] ^= rot(low * c[0] & w, 15) * c[1] & w
-    h = [v ^ 8 for v in h]
+def murmur_low64(keys: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Low 64 bits of the 128-bit x86 variant of MurmurHash3, of keys as eight bytes, little end first (a public algorithm)."""
+    u = np.uint32
+    rot = lambda v, r: (v << u(r)) | (v >> u(32 - r))
+    # Multipliers of the algorithm.
+    c = (u(0x239B961B), u(0xAB0E9789), u(0x38B34AE5), u(0xA1E38B93))
+    keys = np.atleast_1d(np.asarray(keys)).astype(np.uint64)
+    low, high = keys.astype(u), (keys >> np.uint64(32)).astype(u)
+    h = [np.full(len(keys), seed, dtype=u) for _ in range(4)]
+    h[1] ^= rot(high * c[1], 16) * c[2]
+    h[0] ^= rot(low * c[0], 15) * c[1]
+    h = [v ^ u(8) for v in h]
 
     def spread() -> None:
-        h[0] = sum(h) & w
+        h[0] = h[0] + h[1] + h[2] + h[3]
         for i in (1, 2, 3):
-            h[i] = (h[i] + h[0]) & w
+            h[i] = h[i] + h[0]
 
-    def mix(v: int) -> int:
-        v ^= v >> 16
-        v = v * 0x85EBCA6B & w
-        v ^= v >> 13
-        v = v * 0xC2B2AE35 & w
-        return v ^ v >> 16
+    def mix(v: np.ndarray) -> np.ndarray:
+        v = (v ^ (v >> u(16))) * u(0x85EBCA6B)
+        v = (v ^ (v >> u(13))) * u(0xC2B2AE35)
+        return v ^ (v >> u(16))
 
     spread()
     h = [mix(v) for v in h]
     spread()
-    return h[1] << 32 | h[0]
+    return (h[1].astype(np.uint64) << np.uint64(32)) | h[0].astype(np.uint64)
 
 
 @F.pandas_udf(T.LongType())
 def murmur_column(keys: pd.Series) -> pd.Series:
     """``murmur_low64`` of a column, as the signed number of the same bits."""
-    return pd.Series(np.array([murmur_low64(int(k) & _M) for k in keys], dtype=np.uint64).view(np.int64))
+    return pd.Series(murmur_low64(keys.to_numpy(dtype=np.int64).view(np.uint64)).view(np.int64))
 
 
-def shard_place(hashed: Column, preshift: int, minishard_bits: int, shard_bits: int) -> dict[str, Column]:
-    """Shard and minishard of a hashed key (the key is shifted by ``preshift`` before hashing)."""
+def shard_place(key: Column, preshift: int, minishard_bits: int, shard_bits: int, murmur: bool = True) -> dict[str, Column]:
+    """Shard and minishard of a key, which is shifted by ``preshift`` and then hashed."""
+    shifted = F.shiftrightunsigned(key.cast("bigint"), preshift)
+    hashed = murmur_column(shifted) if murmur else shifted
     return {"minishard": _cut(hashed, 0, minishard_bits) if minishard_bits else F.lit(0).cast("bigint"), "shard": _cut(hashed, minishard_bits, shard_bits) if shard_bits else F.lit(0).cast("bigint")}

@@ -50,6 +50,16 @@ def dense_volume(blocks: DataFrame, url: str, scale: int | str, supervoxels: Seq
     return encode_runs(read_chunks(blocks, url, scale, supervoxels))
 
 
+def dense_volumes(blocks: DataFrame, url: str, scale: int | str, roots: DataFrame, block: Sequence[int], force: bool = False) -> DataFrame:
+    """Runs ``id``, ``x``, ``y``, ``z``, ``len`` of the roots: voxels of the blocks whose ``supervoxel`` a ``root`` holds. A read over the ceiling is refused before it starts."""
+    n = blocks.count()
+    cost = n * block[0] * block[1] * block[2]
+    if cost > MOST_VOXELS and not force:
+        raise ValueError(f"this would read {cost} voxels in {n} blocks; the ceiling is {MOST_VOXELS}")
+    held = roots.select(F.col("supervoxel").alias("segment"), F.col("root").alias("id")).distinct()
+    return encode_runs(read_chunks(blocks, url, scale).join(held, "segment"), ["id"])
+
+
 def agglomerate(voxels: DataFrame, roots: DataFrame) -> DataFrame:
     """Voxels with ``root`` for their ``segment``; background stays 0. ``roots`` are ``supervoxel``, ``root``."""
     table = roots.select(F.col("supervoxel").alias("segment"), "root").dropDuplicates(["segment"])

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from axonframe.plans import cut_lineage
+from axonframe.plans import cut_lineage, discard
 
 
 def closure(tree: DataFrame) -> DataFrame:
@@ -29,6 +29,22 @@ def closure(tree: DataFrame) -> DataFrame:
         size = grown
 
 
+def reach(start: DataFrame, links: DataFrame, source: str, target: str) -> DataFrame:
+    """``id``, ``root``, ``depth`` (fewest steps): all that each ``id`` of ``start`` reaches along ``links``, itself at depth 0.
+
+    The frontier grows from the start, so links that nothing reaches are never joined; what was reached before is not followed again.
+    """
+    links = links.select(F.col(source).alias("root"), F.col(target).alias("next")).where("root is not null and next is not null").distinct()
+    seen = frontier = cut_lineage(start.select("id", F.col("id").alias("root"), F.lit(0).alias("depth")).where("id is not null").distinct())
+    while True:
+        new = frontier.join(links, "root").groupBy("id", F.col("next").alias("root")).agg((F.min("depth") + 1).alias("depth"))
+        frontier = cut_lineage(new.join(seen, ["id", "root"], "left_anti"))
+        if frontier.isEmpty():
+            return seen
+        old, seen = seen, cut_lineage(seen.unionByName(frontier))
+        discard(old)
+
+
 def expand(names: Sequence[str], tree: DataFrame, primary: DataFrame) -> DataFrame:
     """The primary regions (column ``roi`` of ``primary``) in or under the named ones; an unknown name raises ValueError."""
     pairs = closure(tree)

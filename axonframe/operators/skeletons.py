@@ -74,17 +74,45 @@ def pick_source(sources: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     return out
 
 
+def nearest(xyz: np.ndarray, k: int) -> np.ndarray:
+    """Numbers of the ``k`` nearest points of each point, itself too, nearest first, the smaller number in a tie.
+
+    A k-d tree by halving along the widest axis: leaves of some points are compared with all leaves that may hold a nearer point than the k-th found, so
+    the work grows with n log n for points that lie apart; equal points are settled by their numbers.
+    """
+    n = len(xyz)
+    leaves, stack = [], [np.arange(n)]
+    size = max(64, 2 * k)
+    while stack:
+        part = stack.pop()
+        if len(part) <= size:
+            leaves.append(part)
+            continue
+        axis = int(np.argmax(np.ptp(xyz[part], axis=0)))
+        order = part[np.argsort(xyz[part, axis], kind="stable")]
+        stack += [order[: len(order) // 2], order[len(order) // 2 :]]
+    low, high = np.array([xyz[m].min(axis=0) for m in leaves]), np.array([xyz[m].max(axis=0) for m in leaves])
+    out = np.empty((n, k), dtype=np.int64)
+    for i, mine in enumerate(leaves):
+        apart = (np.maximum(0.0, np.maximum(low - high[i], low[i] - high)) ** 2).sum(axis=1)
+        by, taken = np.argsort(apart, kind="stable"), 0
+        while True:  # twice as many leaves each time, until the next lies beyond the k-th of every point
+            taken = max(4, 2 * taken)
+            near = np.sort(np.concatenate([leaves[j] for j in by[:taken]]))
+            d = sum((xyz[mine, a][:, None] - xyz[near, a][None, :]) ** 2 for a in range(3))
+            if taken >= len(leaves) or len(near) >= k and apart[by[taken]] > np.partition(d, k - 1, axis=1)[:, k - 1].max():
+                break
+        out[mine] = near[np.argsort(d, axis=1, kind="stable")[:, :k]]
+    return out
+
+
 def dotprops(points: DataFrame, k: int = 5) -> DataFrame:
     """Tangents: for each point of a neuron the main axis of its ``k`` nearest points (itself too), ``tx``, ``ty``, ``tz`` with its first part that is not 0 positive,
     and ``alpha``, how far they lie on a line. A neuron of fewer points uses all it has; one point gives zeros."""
 
     def one(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
         xyz = p[["x", "y", "z"]].to_numpy(dtype=np.float64)
-        n = min(k, len(xyz))
-        near = np.empty((len(xyz), n), dtype=np.int64)
-        for at in range(0, len(xyz), 512):
-            d = ((xyz[at : at + 512, None, :] - xyz[None, :, :]) ** 2).sum(-1)
-            near[at : at + 512] = np.argsort(d, axis=1, kind="stable")[:, :n]
+        near = nearest(xyz, min(k, len(xyz)))
         local = xyz[near] - xyz[near].mean(axis=1, keepdims=True)
         _, s, v = np.linalg.svd(np.einsum("nki,nkj->nij", local, local))
         axis = v[:, 0, :]

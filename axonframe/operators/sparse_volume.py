@@ -23,6 +23,32 @@ def encode_runs(voxels: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return runs.select(*keys, "x", "y", "z", "len")
 
 
+def sort_runs(runs: DataFrame) -> DataFrame:
+    """Runs in the order z, y, x."""
+    return runs.orderBy("z", "y", "x")
+
+
+def merge_runs(runs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Runs without overlaps: those of one row that overlap or touch become one, without making voxels."""
+    row = [*keys, "z", "y"]
+    w = Window.partitionBy(*row).orderBy("x")
+    end = F.max(F.col("x") + F.col("len")).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    marked = runs.select(*row, "x", "len").withColumn("__new", F.coalesce((F.col("x") > end).cast("int"), F.lit(1)))
+    marked = marked.withColumn("__run", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    out = marked.groupBy(*row, "__run").agg(F.min("x").alias("x"), F.max(F.col("x") + F.col("len")).alias("__end"))
+    return out.select(*keys, "x", "y", "z", (F.col("__end") - F.col("x")).cast("int").alias("len"))
+
+
+def coarser(runs: DataFrame, factor: Sequence[int], keys: Sequence[str] = ()) -> DataFrame:
+    """Runs at a coarser scale: a voxel of it is there if any of its ``factor`` finer ones is. No voxel is made."""
+    fx, fy, fz = (int(f) for f in factor)
+    if (fx, fy, fz) == (1, 1, 1):
+        return runs
+    low, high = F.floor(F.col("x") / fx), F.floor((F.col("x") + F.col("len") - 1) / fx)
+    moved = runs.select(*keys, low.cast("int").alias("x"), F.floor(F.col("y") / fy).cast("int").alias("y"), F.floor(F.col("z") / fz).cast("int").alias("z"), (high - low + 1).cast("int").alias("len"))
+    return merge_runs(moved.distinct(), keys)
+
+
 def decode_runs(runs: DataFrame) -> DataFrame:
     """Voxels of runs (other columns are kept); a run of no length fails the query."""
     ok = F.when(F.col("len") >= 1, F.col("len")).otherwise(F.raise_error(F.lit("a run must have a length of 1 or more")).cast("int"))

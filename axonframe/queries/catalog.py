@@ -7,10 +7,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from axonframe.queries import drift, mirror_diff, points, skew, structure, wiring
+from axonframe.queries import drift, handle, mirror_diff, points, skew, structure, wiring
 
 FLAGSHIP = "target_types_topk"
-_MODULES = (wiring, structure, mirror_diff, skew, drift, points)
+_MODULES = (wiring, structure, handle, mirror_diff, skew, drift, points)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

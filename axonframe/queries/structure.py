@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from axonframe.functions import labels as L
 from axonframe.functions import normalize as N
-from axonframe.model.version import newest_joint_version, version_order
+from axonframe.model.version import newest_joint_version
 from axonframe.operators import graph_history as G
 from axonframe.operators import meshes as M
 from axonframe.operators import regions as R
@@ -178,11 +178,6 @@ def locations_to_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.segments_at(points, _runs(spark, sf_dir).withColumn("id", (F.col("y") % 10).cast("long")))
 
 
-@query("SELECT DISTINCT x, y, z FROM vox WHERE x >= 10 AND x < 50 AND y >= 0 AND y < 20 AND z >= 2 AND z < 5", "vox")
-def segmentation_cutout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.cutout(V.decode_runs(_runs(spark, sf_dir)), (10, 0, 2), (50, 20, 5)).select("x", "y", "z")
-
-
 _LABEL = "((layer << 56) | (cx << 46) | (cy << 36) | (cz << 26) | (seg % 67108864))"
 
 
@@ -193,12 +188,6 @@ def label_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived(spark, sf_dir, "labels").select("seg", label.alias("label")).select("seg", *[v.alias(k) for k, v in L.label_parts(c("label")).items()])
 
 
-@query("SELECT version FROM (SELECT DISTINCT concat('v', p_size % 12, '.', p_partkey % 13) AS version FROM part)")
-def version_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = table(spark, sf_dir, "part").selectExpr("concat('v', p_size % 12, '.', p_partkey % 13) AS version").distinct()
-    return names.orderBy(*version_order(F.col("version")))
-
-
 # ---- skeletons and meshes
 
 
@@ -231,14 +220,6 @@ def mesh_bounding_box(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.bounding_box(derived(spark, sf_dir, "vox").withColumn("id", F.col("y").cast("long")))
 
 
-@query(None)
-def mesh_weld(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vertices left after the seams of a mesh are welded."""
-    v = derived(spark, sf_dir, "nodes").selectExpr("CAST(node_id % 10 AS BIGINT) AS id", "node_id AS vertex", "CAST(x AS DOUBLE) AS x", "CAST(y AS DOUBLE) AS y", "CAST(z AS DOUBLE) AS z")
-    f = v.selectExpr("id", "vertex AS a", "vertex AS b", "vertex AS c")
-    return M.weld(v, f, (4.0, 4.0, 4.0))[0]
-
-
 @query("WITH " + _RUNS + " SELECT CAST(z AS BIGINT) AS id, x, y, z, len FROM runs", "vox")
 def rle_payload_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs packed to binary volumes per section and read back."""
@@ -280,11 +261,3 @@ def occupied_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocks(derived(spark, sf_dir, "labels").select(label.alias("label")), (256, 512, 64), (64, 64, 64), (4, 4, 1))
 
 
-@query(None)
-def capability_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What each public data set can serve through each of its stores."""
-    from axonframe.model.datasets import PUBLIC, register_public
-    from axonframe.model.registry import capability_matrix as matrix
-
-    register_public()
-    return matrix(spark).where(F.col("dataset").isin([s.name for s in PUBLIC]))

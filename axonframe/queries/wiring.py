@@ -96,15 +96,6 @@ def edges_with_autapses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture(spark, sf_dir).connectivity.edges(None, autapses=True)
 
 
-@query("SELECT CAST(0 AS BIGINT) AS n_differences")
-def edges_equal_view_and_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edges counted from synapses and read from a pre-aggregated view are the same."""
-    syn = derived(spark, sf_dir, "syn")
-    a = C.edges(syn, min_weight=3)
-    b = C.edges(None, edge_view=C.aggregate_edges(syn), min_weight=3)
-    return a.exceptAll(b).unionByName(b.exceptAll(a)).agg(F.count(F.lit(1)).alias("n_differences"))
-
-
 @query("WITH s AS (SELECT DISTINCT pre FROM syn), t AS (SELECT DISTINCT post FROM syn), e AS (SELECT pre, post, count(*) AS w FROM syn WHERE pre <> post GROUP BY ALL) SELECT s.pre, t.post, CAST(coalesce(w, 0) AS INT) AS weight FROM s CROSS JOIN t LEFT JOIN e ON e.pre = s.pre AND e.post = t.post", "syn")
 def adjacency_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole dense matrix: every sender with every receiver."""
@@ -125,11 +116,6 @@ def synapse_counts_by_roi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.synapse_counts(C.edges(derived(spark, sf_dir, "syn"), by_roi=True), by_roi=True)
 
 
-@query("SELECT id, pre, post, score FROM synapses WHERE score >= CAST(100 AS FLOAT)")
-def synapses_min_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "synapses").where(F.col("score") >= 100).select("id", "pre", "post", "score")
-
-
 # ---- transmitters
 
 _BEST = "greatest(coalesce(a, -1), coalesce(g, -1), coalesce(u, -1))"

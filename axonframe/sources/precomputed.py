@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from axonframe.functions.labels import murmur_low64
+from axonframe.functions.labels import murmur_low64, shard_place
 from axonframe.model.errors import CapabilityError, MissingDependency, StoreUnavailable
 
 
@@ -127,7 +127,7 @@ def shard_of(key: int, spec: dict) -> tuple[str, int]:
     """File name and minishard of a key."""
     hashed = key >> spec.get("preshift_bits", 0)
     if spec["hash"] == "murmurhash3_x86_128":
-        hashed = murmur_low64(hashed)
+        hashed = int(murmur_low64(np.array([hashed], dtype=np.uint64))[0])
     elif spec["hash"] != "identity":
         raise ValueError(f"unknown shard hash {spec['hash']!r}")
     mini, bits = spec["minishard_bits"], spec["shard_bits"]
@@ -161,6 +161,41 @@ def read_sharded(store: FileStore, folder: str, key: int, spec: dict) -> bytes |
     return decompress(store.get(path, base + int(index[at, 1]), base + int(index[at, 2])), spec.get("data_encoding"))
 
 
+def shard_index(shards: DataFrame, url: str, folder: str, spec: dict) -> DataFrame:
+    """The indexes of shard files as a table: ``key``, ``shard``, ``start``, ``end`` of each object's bytes in its file. ``shards`` gives the file names, ``shard``; a missing
+    file has no objects. A lookup of keys is a join with this table."""
+    base = 16 << spec["minishard_bits"]
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store = FileStore(url)
+        for p in batches:
+            for name in p["shard"]:
+                path = f"{folder}/{name}" if folder else name
+                places = store.get(path, 0, base)
+                for start, end in np.frombuffer(places or b"", "<u8").reshape(-1, 2).tolist():
+                    if start < end:
+                        rows = minishard_index(decompress(store.get(path, base + start, base + end), spec.get("minishard_index_encoding")))
+                        yield pd.DataFrame({"key": rows[:, 0].view(np.int64), "shard": name, "start": (rows[:, 1] + base).astype(np.int64), "end": (rows[:, 2] + base).astype(np.int64)})
+
+    return shards.select("shard").distinct().mapInPandas(read, "key bigint, shard string, start bigint, end bigint")
+
+
+def read_objects(keys: DataFrame, url: str, folder: str, spec: dict) -> DataFrame:
+    """``key``, ``data`` of the sharded objects with these keys: a join with the indexes of the shards that the keys fall into, then ranged reads. Keys that are not there have no row."""
+    place = shard_place(F.col("key"), spec.get("preshift_bits", 0), spec["minishard_bits"], spec["shard_bits"], spec["hash"] == "murmurhash3_x86_128")
+    digits = -(-spec["shard_bits"] // 4)
+    named = keys.select("key", F.concat(F.lower(F.lpad(F.hex(place["shard"]), digits, "0")) if digits else F.lit("0"), F.lit(".shard")).alias("shard")).where("key is not null").distinct()
+    found = named.join(shard_index(named, url, folder, spec).drop("shard"), "key")
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store = FileStore(url)
+        for p in batches:
+            data = [decompress(store.get(f"{folder}/{s}" if folder else s, a, b), spec.get("data_encoding")) for s, a, b in zip(p["shard"], p["start"], p["end"], strict=True)]
+            yield pd.DataFrame({"key": p["key"], "data": data})
+
+    return found.mapInPandas(read, "key bigint, data binary")
+
+
 def decode_chunk(data: bytes | None, shape: Sequence[int], dtype: str, encoding: str, block: Sequence[int] = (8, 8, 8)) -> np.ndarray:
     """A chunk as an array in x, y, z; a missing one is all 0."""
     if data is None:
@@ -176,29 +211,27 @@ def decode_chunk(data: bytes | None, shape: Sequence[int], dtype: str, encoding:
 
 
 def _decode_blocks(data: bytes, shape: Sequence[int], dtype: np.dtype, block: Sequence[int]) -> np.ndarray:
+    """All blocks of one bit width are unpacked together, then laid side by side."""
     words = np.frombuffer(data, "<u4")
     words = words[int(words[0]) :]
     per = dtype.itemsize // 4
-    out = np.zeros(shape, dtype=dtype)
     grid = [-(-s // b) for s, b in zip(shape, block, strict=True)]
-    n = int(np.prod(block))
-    heads = words[: 2 * int(np.prod(grid))].reshape(-1, 2)
-    for i, (first, second) in enumerate(heads.tolist()):
-        place = (i % grid[0], i // grid[0] % grid[1], i // (grid[0] * grid[1]))
-        table, bits = first & 0xFFFFFF, first >> 24
+    n, n_blocks = int(np.prod(block)), int(np.prod(grid))
+    heads = words[: 2 * n_blocks].reshape(-1, 2).astype(np.int64)
+    tables, widths, starts = heads[:, 0] & 0xFFFFFF, heads[:, 0] >> 24, heads[:, 1]
+    values = np.empty((n_blocks, n), dtype=dtype)
+    for bits in np.unique(widths).tolist():
+        at = np.flatnonzero(widths == bits)
+        index = np.zeros((len(at), n), dtype=np.int64)
         if bits:
-            packed = words[second : second + -(-n * bits // 32)]
-            lanes = (packed[:, None] >> np.arange(0, 32, bits, dtype=np.uint32)) & np.uint32((1 << bits) - 1 if bits < 32 else 0xFFFFFFFF)
-            index = lanes.reshape(-1)[:n]
-        else:
-            index = np.zeros(n, dtype=np.uint32)
-        values = words[table : table + (int(index.max()) + 1) * per]
-        values = values.astype(dtype) if per == 1 else np.ascontiguousarray(values).view("<u8").astype(dtype)
-        cube = values[index].reshape(block, order="F")
-        low = [p * b for p, b in zip(place, block, strict=True)]
-        cut = [min(b, s - lo) for b, s, lo in zip(block, shape, low, strict=True)]
-        out[low[0] : low[0] + cut[0], low[1] : low[1] + cut[1], low[2] : low[2] + cut[2]] = cube[: cut[0], : cut[1], : cut[2]]
-    return out
+            packed = words[starts[at, None] + np.arange(-(-n * bits // 32))]
+            lanes = (packed[:, :, None] >> np.arange(0, 32, bits, dtype=np.uint32)) & np.uint32((1 << bits) - 1 if bits < 32 else 0xFFFFFFFF)
+            index = lanes.reshape(len(at), -1)[:, :n].astype(np.int64)
+        place = tables[at, None] + index * per
+        found = words[place].astype(dtype)
+        values[at] = found if per == 1 else found | words[place + 1].astype(dtype) << dtype.type(32)
+    whole = values.reshape(*grid[::-1], *block[::-1]).transpose(0, 3, 1, 4, 2, 5).reshape([g * b for g, b in zip(grid[::-1], block[::-1], strict=True)])
+    return np.ascontiguousarray(whole.transpose(2, 1, 0)[: shape[0], : shape[1], : shape[2]])
 
 
 def encode_blocks(cube: np.ndarray, block: Sequence[int] = (8, 8, 8)) -> bytes:

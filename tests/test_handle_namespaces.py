@@ -2,12 +2,15 @@
 
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from axonframe.dataset import Dataset
 from axonframe.model import errors
 from axonframe.model.spec import AnnotationSource, Cap, DatasetSpec, NtColumns, SparseVolumes, StoreSpec
+from axonframe.operators import meshes as M
+from axonframe.sources.cache import TableCache
 
 T0, T1 = dt.datetime(2020, 1, 1), dt.datetime(2021, 1, 1)
 
@@ -81,13 +84,78 @@ def test_graph_and_versions(ds, spark):
 
 
 def test_volumes(ds, spark):
-    assert ds.voxels.get(1).count() == 5 and ds.voxels.get(1, output="runs").count() == 1 and rows(ds.voxels.count([1, 2])) == [(1, 5), (2, 1)]
-    assert ds.voxels.estimate(1).first().n_blocks == 1 and ds.voxels.scales() == (1, 2)
+    assert ds.voxels.get(1).count() == 3 and ds.voxels.get(1, scale=2).count() == 2 and ds.voxels.get(1, output="runs").count() == 1 and rows(ds.voxels.count([1, 2])) == [(1, 3), (2, 1)]
+    assert ds.voxels.estimate(1).first().route == "service" and ds.voxels.scales() == (1, 2) and ds.voxels.default_scale() == 1
     with pytest.raises(ValueError):
         ds.voxels.get(1, scale=9)
+    dense = Dataset(ds.spec.evolve(sparse_volumes=None, n_scales=3), spark, tables=ds.tables)
+    index = Dataset(dense.spec.evolve(n_scales=9), spark, "neuprint", ds.tables)
+    assert dense.voxels.route == "dense" and dense.voxels.default_scale() == 2 and index.voxels.route == "index" and index.voxels.default_scale() == 4
+    assert dense.voxels.resolution(1) == (8.0, 8.0, 80.0) and rows(dense.voxels.get(1, scale=1, units="nm").select("x")) == [(0.0,), (16.0,), (8.0,)]
+    assert dense.voxels.get(1, scale=0).count() == 5 and dense.voxels.estimate(1, 0).first().n_blocks == 1
+    with pytest.raises(TypeError, match="dense"):
+        index.voxels.get(1, max_chunks=3)
+    with pytest.raises(TypeError):
+        dense.voxels.get(1, timeout=3)
     pts = spark.createDataFrame([(1, 8.0, 0.0, 0.0), (1, 36.0, 0.0, 0.0), (1, 400.0, 0.0, 0.0)], "id bigint, x double, y double, z double")
     assert sorted(r.segment or 0 for r in ds.segmentation.locs_to_segments(pts).collect()) == [0, 1, 2]
     assert rows(ds.segmentation.neuron_to_segments(pts)) == [(1, 1, 1), (1, 2, 1)]
+    assert rows(ds.segmentation.get_voxels(2)) == [(9, 0, 0)] and rows(ds.segmentation.get_segmentation_cutout((8, 0, 0), (13, 4, 40))) == [(2, 0, 0, 1), (3, 0, 0, 1)]
+
+
+def test_segments_as_of_a_version(ds, spark):
+    volume = spark.createDataFrame([(101, 0, 0, 0, 3), (100, 3, 0, 0, 2)], "id bigint, x int, y int, z int, len int")
+    roles = dict(ds.store.tables) | {"supervoxel_runs": "svr"}
+    spec = ds.spec.evolve(stores=(StoreSpec("cave", "here", tables=roles),))
+    graph = Dataset(spec, spark, tables=lambda name: volume if name == "svr" else ds.tables(name))
+    pts = spark.createDataFrame([(0.0, 0.0, 0.0), (16.0, 0.0, 0.0), (99.0, 0.0, 0.0)], "x double, y double, z double")
+    at = lambda **how: sorted((r.x, r.segment) for r in graph.segmentation.locs_to_segments(pts, **how).collect())
+    assert at(version=1) == [(0, 7), (4, 1), (24, None)] and at(version=2) == at() == at(version="live") == [(0, 2), (4, 1), (24, None)]
+    assert [r.supervoxel for r in graph.segmentation.locs_to_supervoxels(pts).orderBy("x").collect()] == [101, 100, None]
+    flat = Dataset(ds.spec, spark, "neuprint", ds.tables)
+    with pytest.raises(errors.CapabilityError):
+        flat.segmentation.locs_to_segments(pts, version=1)
+
+
+def test_meshes(ds, spark):
+    def piece(points, faces):
+        return np.uint32(len(points)).tobytes() + np.array(points, "<f4").tobytes() + np.array(faces, "<u4").tobytes()
+
+    a, b = piece([(0, 0, 0), (1, 0, 0), (0, 1, 0)], [(0, 1, 2)]), piece([(5, 5, 5)], [])
+    rows_of = [(1, 0, "a", a), (1, 0, "b", a), (1, 1, "a", b), (2, 0, "a", a), (2, 0, "n", None)]
+    table = spark.createDataFrame(rows_of, "id bigint, lod int, fragment string, payload binary")
+    roles = dict(ds.store.tables) | {"mesh_fragments": "mf", "roi_meshes": "rm"}
+    spec = ds.spec.evolve(stores=(StoreSpec("cave", "here", tables=roles),), mesh_lod=4)
+    names = {"mf": table, "rm": table.withColumn("id", F.concat(F.lit("R"), F.col("id").cast("string")))}
+    mine = Dataset(spec, spark, tables=lambda name: names.get(name) if name in names else ds.tables(name))
+    vertices, faces = mine.meshes.get([1, 2], lod=0)
+    assert vertices.where("id = 1").count() == 6 and rows(faces) == [(1, 0, 1, 2), (1, 3, 4, 5), (2, 0, 1, 2)]
+    assert rows(mine.meshes.get([1, 2])[0].groupBy("id").count()) == [(1, 1), (2, 3)] == rows(mine.meshes.get([1, 2], lod=-1)[0].groupBy("id").count())
+    assert rows(mine.meshes.get([1, 2], lod=1, lod_fallback=True)[0].groupBy("id").count()) == [(1, 1), (2, 3)]
+    with pytest.raises(Exception, match="no level 1 of 2"):
+        mine.meshes.get([1, 2], lod=1)
+    with pytest.raises(Exception, match="codec"):
+        M.read_meshes(spark.createDataFrame([(1, 0, "a", b"DRACO...")], "id bigint, lod int, fragment string, payload binary"))
+    assert mine.rois.mesh("R1", lod=1)[0].count() == 1
+
+
+def test_versions_cache_and_refusals(ds, spark, tmp_path):
+    with pytest.raises(errors.CapabilityError):
+        ds.connectivity.edges(1, extra=True)
+    kept = Dataset(ds.spec, spark, tables=ds.tables, cache=TableCache(spark, f"file://{tmp_path}"))
+    assert rows(kept.connectivity.edges(1)) == rows(ds.connectivity.edges(1)) and kept.cache.size() > 0
+    assert rows(kept.connectivity.edges(2, min_weight=1, autapses=True)) == rows(ds.connectivity.edges(2, autapses=True))
+    assert rows(kept.annotations.get().select("id", "type")) == rows(ds.annotations.get().select("id", "type"))
+    assert ds.through("neuprint").store.kind == "neuprint" and rows(ds.exists([1, 2, 77])) == [(1, True), (2, True), (77, False)]
+    only = Dataset(ds.spec.evolve(annotation_sources=()), spark, tables=ds.tables)
+    assert rows(only.exists([2, 77])) == [(2, True), (77, False)]
+    two = ds.spec.evolve(annotation_sources=(AnnotationSource("a", "cave_table", "proof", id_column="id"), AnnotationSource("b", "cave_table", "ann", public=False)), fields={})
+    with pytest.raises(ValueError, match="the source b has it"):
+        Dataset(two, spark, tables=ds.tables).ids("cell_type:A")
+    got = ds.connectivity.synapses(None, rois="brain").select("id", "pre")
+    assert rows(got) == [(1, 1), (2, 2), (3, 1)] and rows(ds.connectivity.synapses(None, rois="LH").select("id")) == [(2,)]
+    assert rows(ds.connectivity.adjacency([1, 2], dense=False)) == [(1, 2, 1), (2, 1, 1)]
+    assert ds.viewer.url([1], "https://viewer", points=[(4, 4, 40)], skeletons=True).startswith("https://viewer/#!")
 
 
 def test_skeletons_l2_viewer(ds):

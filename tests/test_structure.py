@@ -89,14 +89,47 @@ def test_morton(spark):
     assert all(r.c == P.morton_code((r.x, r.y, r.z), grid) for r in df.collect())
 
 
+def plain_murmur(key: int) -> int:
+    """The algorithm on whole numbers, one key at a time."""
+    w, c, h = (1 << 32) - 1, (0x239B961B, 0xAB0E9789, 0x38B34AE5, 0xA1E38B93), [0] * 4
+    turn = lambda v, n: (v << n | v >> 32 - n) & w
+    h[1] ^= turn((key >> 32) * c[1] & w, 16) * c[2] & w
+    h[0] ^= turn((key & w) * c[0] & w, 15) * c[1] & w
+    for step in range(2):
+        h = [v ^ 8 for v in h] if step == 0 else [(lambda v: v ^ v >> 16)((lambda v: (v ^ v >> 13) * 0xC2B2AE35 & w)((v ^ v >> 16) * 0x85EBCA6B & w)) for v in h]
+        h[0] = sum(h) & w
+        h[1:] = [(v + h[0]) & w for v in h[1:]]
+    return h[1] << 32 | h[0]
+
+
 def test_murmur_column(spark):
-    keys = [0, 1, 2**40 + 7, -1]
+    keys = [0, 1, -1, 2**62, 12345678901234, -(2**63)]
     df = spark.createDataFrame([(k,) for k in keys], "k bigint").select("k", L.murmur_column("k").alias("h"))
-    want = {k: np.uint64(L.murmur_low64(k & (2**64 - 1))).view(np.int64) for k in keys}
-    assert {r.k: r.h for r in df.collect()} == want and len(set(want.values())) == 4
+    assert {r.k: r.h % 2**64 for r in df.collect()} == {k: plain_murmur(k % 2**64) for k in keys}
+    place = L.shard_place(F.col("k"), 3, 2, 4)
+    got = {r.k: (r.m, r.s) for r in df.select("k", place["minishard"].alias("m"), place["shard"].alias("s")).collect()}
+    assert got == {k: (plain_murmur((k % 2**64) >> 3) & 3, plain_murmur((k % 2**64) >> 3) >> 2 & 15) for k in keys}
+
 
+@pytest.mark.parametrize("n", [1, 40, 700])
+def test_nearest_points(n):
+    r = np.random.default_rng(n)
+    xyz = np.concatenate([r.integers(0, 9, (n, 3)).astype(float), np.zeros((n // 4, 3)), r.normal(0, 100, (n // 2, 3))])
+    k = min(5, len(xyz))
+    d = ((xyz[:, None] - xyz[None]) ** 2).sum(-1)
+    assert (K.nearest(xyz, k) == np.argsort(d, axis=1, kind="stable")[:, :k]).all()
 
-# ---- precomputed
+
+def test_coarser_runs(spark):
+    r = random.Random(4)
+    voxels = {(r.randint(-9, 20), r.randint(0, 6), r.randint(0, 3)) for _ in range(300)}
+    runs = V.encode_runs(spark.createDataFrame(sorted(voxels), "x int, y int, z int").withColumn("id", F.lit(1)), ["id"])
+    for factor in ((1, 1, 1), (2, 2, 1), (4, 3, 2)):
+        got = V.coarser(runs, factor, ["id"])
+        made = [tuple(x) for x in V.decode_runs(got).select("x", "y", "z").collect()]
+        assert len(made) == len(set(made)) and set(made) == {tuple(a // f for a, f in zip(v, factor, strict=True)) for v in voxels}
+    overlapping = spark.createDataFrame([(0, 0, 0, 5), (2, 0, 0, 1), (5, 0, 0, 2), (9, 0, 0, 1)], "x int, y int, z int, len int")
+    assert sorted(map(tuple, V.merge_runs(overlapping).collect())) == [(0, 0, 0, 7), (9, 0, 0, 1)] and V.sort_runs(overlapping).first().x == 0
 
 
 @pytest.mark.parametrize("encoding", ["raw", "compressed_segmentation"])
@@ -142,6 +175,10 @@ def test_volume(spark, tmp_path, encoding, sharded):
         (tmp_path / s.key / name).write_bytes(index + body)
     v = P.Volume("precomputed://file://" + str(tmp_path))
     assert (v.cutout((3, 0, 1), (23, 17, 10)) == cube).all()
+    if sharded:
+        codes = [P.morton_code(p, s.grid) for p in np.ndindex(*s.grid)]
+        found = P.read_objects(spark.createDataFrame([(k,) for k in [*codes, codes[0], 9999, None]], "key bigint"), str(tmp_path), s.key, spec).collect()
+        assert {r.key: bytes(r.data) for r in found} == {k: P.read_sharded(v.store, s.key, k, spec) for k in codes} and len(found) == len(codes)
     wide = v.cutout((0, -2, 0), (10, 10, 5))
     assert (wide[3:, 2:, 1:] == cube[:7, :10, :4]).all() and wide[:3].max() == 0
     with pytest.raises(ValueError):
