@@ -49,19 +49,17 @@ def _type_name(kind: Column) -> Column:
 
 
 def parse_lines(drops: DataFrame, c: Drops = Drops()) -> DataFrame:
-    """One row per line that is a JSON object: ``file_id``, ``stream``, ``seq``, ``entity``, ``fields``.
+    """One row per line: ``file_id``, ``stream``, ``seq``, ``entity``, ``fields``.
 
-    ``fields`` lists ``name``, ``kind`` and ``text`` of the fields that are not null. All other lines (null, empty, cut off, lists, numbers) are passed over.
+    ``fields`` lists ``name``, ``kind`` and ``text`` of the fields that are not null; it is null for lines that are no JSON object (null, empty, cut off, lists, numbers).
     ``text`` keeps how a number is written, such as ``5.0``; the variant alone would not.
     """
-    variant = F.expr(f"try_parse_json({c.payload})")
-    parsed = F.when(F.schema_of_variant(variant).startswith("OBJECT"), F.map_entries(variant.cast("map<string,variant>")))
     keys = [F.col(name).alias(to) for name, to in ((c.file, "file_id"), (c.stream, "stream"), (c.seq, "seq"), (c.entity, "entity"))]
-    rows = drops.select(*keys, F.from_json(c.payload, "map<string,string>").alias("texts"), parsed.alias("parsed"))
-    one = lambda e: F.struct(e["key"].alias("name"), F.schema_of_variant(e["value"]).alias("kind"), F.try_element_at("texts", e["key"]).alias("text"))
-    typed = lambda e: F.struct(e["name"].alias("name"), _type_name(e["kind"]).alias("kind"), e["text"].alias("text"))
-    fields = F.transform(F.filter(F.transform("parsed", one), lambda e: e["kind"] != "VOID"), typed)
-    return rows.select("file_id", "stream", "seq", "entity", fields.alias("fields")).where("fields is not null")
+    variants = F.expr(f"try_parse_json({c.payload})").try_cast("map<string,variant>")
+    # both maps are arguments of one function, so each is made once a line
+    both = F.map_zip_with(variants, F.from_json(c.payload, "map<string,string>"), lambda k, v, t: F.struct(F.schema_of_variant(v).alias("kind"), t.alias("text")))
+    typed = lambda e: F.struct(e["key"].alias("name"), _type_name(e["value"]["kind"]).alias("kind"), e["value"]["text"].alias("text"))
+    return drops.select(*keys, F.transform(F.filter(F.map_entries(both), lambda e: e["value"]["kind"] != "VOID"), typed).alias("fields"))
 
 
 def field_types(lines: DataFrame) -> DataFrame:
@@ -152,7 +150,7 @@ def follow_schemas(drops: DataFrame, c: Drops = Drops()) -> Drift:
     field in one file counts with its last line. Gone and new fields are matched one to one: the pair that
     agrees for the largest share first, then for the most entities, then by name, until no pair is left. An empty table has no changes.
     """
-    lines = cut_lineage(parse_lines(drops, c))
+    lines = cut_lineage(parse_lines(drops, c)).where("fields is not null")  # written first: a filter would make the fields twice
     files = cut_lineage(schema_versions(drops, lines, c))
     moved = files.where("prev_id is not null and schema <> prev_schema")
     steps = cut_lineage(moved.select("file_id", "prev_id", "schema", "prev_schema", _lacking("prev_schema", "schema").alias("gone"), _lacking("schema", "prev_schema").alias("come")))
