@@ -425,7 +425,8 @@ class Skeletons(_Part):
             return self._as_of(version).get(x, units=units)
         want, names = self.ds.ids(x), self.ds.store.names("skeletons")
         found = [(n, self.ds.table(t, missing=None)) for n, t in (("precomputed", "skeletons"), ("service", "skeleton_service"), ("l2", "l2_skeletons"))]
-        sources = [(n, C.restrict(N.normalize_skeleton(t, names), "id", want)) for n, t in found if t is not None]
+        roots = K.only_roots(want, self.ds.spec.graph_layers) if self.ds.spec.graph_layers else want
+        sources = [(n, C.restrict(N.normalize_skeleton(t, names), "id", roots if n == "service" else want)) for n, t in found if t is not None]
         return N.to_units(K.pick_source(sources), [""], self.ds.spec.voxel_size, units, self.ds.store.position_units if self.ds.store.kind == "neuprint" else "nm")
 
     def segments(self, x: object, *, units: str = "nm") -> DataFrame:

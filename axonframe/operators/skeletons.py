@@ -9,37 +9,41 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from axonframe.functions.labels import label_parts
 from axonframe.model.errors import CapabilityError
 
 _NODES = "id bigint, node_id int, parent_id int"
 
 
-def root_nodes(n_nodes: np.ndarray, a: np.ndarray, b: np.ndarray, start: int | None = None) -> dict[int, int]:
-    """Parents of a forest of nodes joined by undirected edges, found breadth first: the root of each component has -1. A component is
-    rooted at ``start`` if it holds it, else at its smallest node; neighbours are visited in order, so the result is always the same."""
-    near: dict[int, list[int]] = {int(n): [] for n in n_nodes}
-    for x, y in zip(a.tolist(), b.tolist(), strict=True):
-        if x != y:
-            near.setdefault(x, []).append(y)
-            near.setdefault(y, []).append(x)
-    parents: dict[int, int] = {}
-    order = sorted(near)
-    if start in near:
-        order.insert(0, start)
-    for root in order:
-        if root in parents:
+def root_nodes(n_nodes: np.ndarray, a: np.ndarray, b: np.ndarray, start: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes and parents of a forest of nodes joined by undirected edges, found breadth first: the root of each component has -1. A component is
+    rooted at ``start`` if it holds it, else at its smallest node; neighbours are visited in order, so the result is always the same.
+
+    Neighbours lie side by side in one sorted array; each node and edge is looked at once.
+    """
+    nodes, at = np.unique(np.concatenate([n_nodes, a, b]), return_inverse=True)
+    ends = at[len(n_nodes) :].reshape(2, -1)
+    source, target = np.concatenate([ends[0], ends[1]]), np.concatenate([ends[1], ends[0]])
+    order = np.lexsort((target, source))
+    first = np.searchsorted(source[order], np.arange(len(nodes) + 1)).tolist()
+    near = target[order].tolist()
+    unseen = -2
+    parents = [unseen] * len(nodes)
+    roots = range(len(nodes))
+    if start is not None and start in nodes:
+        roots = [int(np.searchsorted(nodes, start)), *roots]
+    for root in roots:
+        if parents[root] != unseen:
             continue
         parents[root] = -1
-        level = [root]
-        while level:
-            found = []
-            for n in level:
-                for m in sorted(set(near[n])):
-                    if m not in parents:
-                        parents[m] = n
-                        found.append(m)
-            level = found
-    return parents
+        queue = [root]
+        for n in queue:
+            for m in near[first[n] : first[n + 1]]:
+                if parents[m] == unseen:
+                    parents[m] = n
+                    queue.append(m)
+    found = np.array(parents, dtype=np.int64)
+    return nodes, np.where(found < 0, -1, nodes[found]) if len(nodes) else found
 
 
 def root_forests(edges: DataFrame) -> DataFrame:
@@ -50,8 +54,8 @@ def root_forests(edges: DataFrame) -> DataFrame:
 
     def one(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
         ends = p[["a", "b"]].to_numpy()
-        parents = root_nodes(np.unique(ends), ends[:, 0], ends[:, 1])
-        return pd.DataFrame({"id": key[0], "node_id": list(parents), "parent_id": list(parents.values())})
+        nodes, parents = root_nodes(ends[:, 0], ends[:, 0], ends[:, 1])
+        return pd.DataFrame({"id": key[0], "node_id": nodes, "parent_id": parents})
 
     return edges.select("id", "a", "b").where("a is not null and b is not null").groupBy("id").applyInPandas(one, _NODES)
 
@@ -62,6 +66,13 @@ def segments(nodes: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
     return nodes.join(parents, [*keys, "parent_id"]).select(*keys, "node_id", *"xyz", "px", "py", "pz")
 
 
+def only_roots(ids: DataFrame, n_layers: int) -> DataFrame:
+    """The ids as they are; one whose layer bits say that it is no root (the top layer of a chunked graph) fails the query."""
+    layer = label_parts(F.col("id"))["layer"]
+    wrong = F.raise_error(F.concat(F.lit("no root, but of layer "), layer.cast("string"), F.lit(": "), F.col("id").cast("string"))).cast("bigint")
+    return ids.withColumn("id", F.when(layer == n_layers, F.col("id")).otherwise(wrong))
+
+
 def pick_source(sources: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     """Skeletons from the first source, in order, that has more than one node for a neuron; ``source`` names it."""
     out = None
@@ -153,8 +164,8 @@ def l2_skeleton(graph: DataFrame, l2: DataFrame) -> DataFrame:
 
     def one(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
         ends = p[["a", "b"]].to_numpy()
-        parents = root_nodes(np.unique(ends), ends[:, 0], ends[:, 1])
-        return pd.DataFrame({"id": key[0], "l2_id": list(parents), "parent_l2": list(parents.values())})
+        nodes, parents = root_nodes(ends[:, 0], ends[:, 0], ends[:, 1])
+        return pd.DataFrame({"id": key[0], "l2_id": nodes, "parent_l2": parents})
 
     rooted = graph.select("id", "a", "b").groupBy("id").applyInPandas(one, "id bigint, l2_id bigint, parent_l2 bigint")
     here = l2.select("l2_id", *[F.get("rep_coord_nm", F.lit(i)).cast("float").alias(a) for i, a in enumerate("xyz")], l2_radius(F.col("size_nm3"), F.col("area_nm2")).cast("float").alias("radius"))

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import logging
 import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_log = logging.getLogger(__name__)
+
+
 class TableCache:
     """A folder of kept tables, in the file system of the session.
 
@@ -19,6 +23,12 @@ class TableCache:
     def __init__(self, spark: SparkSession, root: str, enabled: bool = True):
         self.spark, self.root, self.enabled = spark, root.rstrip("/"), enabled
 
+    @classmethod
+    def of_session(cls, spark: SparkSession) -> TableCache | None:
+        """The cache that the session's settings name: ``spark.axonframe.cache.dir``, unless ``spark.axonframe.cache.enabled`` is false; None without a folder."""
+        root = spark.conf.get("spark.axonframe.cache.dir", None)
+        return cls(spark, root, spark.conf.get("spark.axonframe.cache.enabled", "true").lower() != "false") if root else None
+
     def _fs(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
@@ -32,11 +42,14 @@ class TableCache:
         """The kept table, or ``make()`` written and read back. Without a token a kept table never ages. A write that did not finish
         left no success mark and counts as missing."""
         if not self.enabled:
+            _log.info("%s: made, as nothing is kept", folder)
             return make()
         state = hashlib.sha256((token or "").encode()).hexdigest()[:16]
         path = f"{folder}/{state}"
         fs, mark = self._fs(f"{path}/_SUCCESS")
-        if not fs.exists(mark):
+        kept = fs.exists(mark)
+        _log.info("%s: %s", folder, "kept" if kept else "made, as it is not there in this state")
+        if not kept:
             make().write.mode("overwrite").parquet(path)
             self._supersede(folder, state)
         return self.spark.read.parquet(path)

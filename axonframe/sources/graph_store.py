@@ -12,9 +12,29 @@ from axonframe.operators.connectivity import restrict
 from axonframe.operators.regions import flag_region
 
 
+_views: dict[tuple[str, str | None], dict[str, bool]] = {}
+
+
+def list_tables(spark: SparkSession, database: str | None = None, refresh: bool = False) -> dict[str, bool]:
+    """Tables of a database, in lower case, and whether each is a view; asked for once a session. A database that cannot be listed has none."""
+    key = (spark.sparkContext.applicationId, database)
+    if refresh or key not in _views:
+        try:
+            _views[key] = {t.name.lower(): t.tableType in ("VIEW", "TEMPORARY") for t in spark.catalog.listTables(database)}
+        except Exception:  # noqa: BLE001  (whatever the catalog says)
+            _views[key] = {}
+    return _views[key]
+
+
+def list_datasets(spark: SparkSession, name: str | None = None) -> list[str]:
+    """Databases of the catalog; with ``name`` those of that name or that begin with it and a colon."""
+    names = sorted(d.name for d in spark.catalog.listDatabases())
+    return names if name is None else [n for n in names if n == name or n.startswith(f"{name}:")]
+
+
 def pick_table(spark: SparkSession, wanted: str | None, declared: str | None, database: str | None = None) -> tuple[str, bool]:
     """The synapse table to read and whether it is a view: a view of the wanted name, the wanted table, the one the store declares; else an error."""
-    there = {t.name.lower(): t.tableType in ("VIEW", "TEMPORARY") for t in spark.catalog.listTables(database)}
+    there = list_tables(spark, database, refresh=True)
     for name in (wanted, declared):
         if name and name.rsplit(".", 1)[-1].lower() in there:
             return name, there[name.rsplit(".", 1)[-1].lower()]

@@ -10,6 +10,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,20 +42,24 @@ def decompress(data: bytes, encoding: str | None) -> bytes:
 
 
 class FileStore:
-    """Objects under a folder, whole, in part or as JSON; a missing object is None."""
+    """Objects under a folder or in a bucket (``s3://``, ``gs://``, ``hdfs://``), whole, in part or as JSON; a missing object is None."""
 
     def __init__(self, url: str):
-        self.root = normalize_url(url)
-        if "://" in self.root:
-            raise StoreUnavailable(f"{url}: remote buckets are read with spark.read.format('binaryFile'); this reads files")
+        root = normalize_url(url)
+        try:
+            self.files, self.root = (fs.LocalFileSystem(), os.path.abspath(root)) if "://" not in root else fs.FileSystem.from_uri(root)
+        except (pa.ArrowInvalid, NotImplementedError, OSError) as e:
+            raise StoreUnavailable(f"{url}: {e}") from e
 
     def get(self, name: str, start: int = 0, end: int | None = None) -> bytes | None:
         try:
-            with open(os.path.join(self.root, name), "rb") as f:
+            with self.files.open_input_file(f"{self.root}/{name}") as f:
                 f.seek(start)
                 return f.read() if end is None else f.read(end - start)
         except FileNotFoundError:
             return None
+        except OSError as e:
+            raise StoreUnavailable(f"{self.root}/{name}: {e}") from e
 
     def json(self, name: str) -> dict | None:
         data = self.get(name)
@@ -161,6 +167,36 @@ def read_sharded(store: FileStore, folder: str, key: int, spec: dict) -> bytes |
     return decompress(store.get(path, base + int(index[at, 1]), base + int(index[at, 2])), spec.get("data_encoding"))
 
 
+def mesh_kind(info: dict | None) -> str:
+    """How the meshes of a folder are stored, from the ``@type`` of its info: ``multilod``, ``legacy`` (also without an info) or ``graph``; any other is refused."""
+    info = info or {}
+    kind = info.get("@type")
+    # Types of mesh folders.
+    known = {None: "graph" if "app" in info else "legacy", "neuroglancer_legacy_mesh": "legacy", "neuroglancer_multilod_draco": "multilod"}
+    if kind not in known:
+        raise CapabilityError(f"meshes of type {kind!r} are not read")
+    return known[kind]
+
+
+def graph_layout(info: dict) -> dict:
+    """Layers, chunk size in voxels and bits of a coordinate of a chunked graph, from its info."""
+    graph = info["graph"]
+    return {"n_layers": int(graph["n_layers"]), "chunk": tuple(graph["chunk_size"]), "bits": {int(k): int(v) for k, v in graph.get("spatial_bit_masks", {}).items()}}
+
+
+def read_fragments(fragments: DataFrame, url: str) -> DataFrame:
+    """The bytes of named fragments, ``payload``: a part of a shard file for names that say so (``parse_fragment_names``), else an object of that name; null where it is missing."""
+    kept = [f for f in fragments.schema if f.name != "payload"]
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store = FileStore(url)
+        for p in batches:
+            part = lambda r: store.get(f"{int(r.layer)}/{r.file}", int(r.offset), int(r.offset + r.size)) if r.in_shard else store.get(r.name)
+            yield p.assign(payload=[part(r) for r in p.itertuples(index=False)])[[*[f.name for f in kept], "payload"]]
+
+    return fragments.mapInPandas(read, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", payload binary")
+
+
 def shard_index(shards: DataFrame, url: str, folder: str, spec: dict) -> DataFrame:
     """The indexes of shard files as a table: ``key``, ``shard``, ``start``, ``end`` of each object's bytes in its file. ``shards`` gives the file names, ``shard``; a missing
     file has no objects. A lookup of keys is a join with this table."""

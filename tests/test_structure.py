@@ -303,3 +303,40 @@ def test_scenes():
     state = scenes.scene([layer, pts], (4, 4, 40), (40, 40, 400))
     assert scenes.parse_url(scenes.scene_url(state, "https://viewer/")) == json.loads(json.dumps(state)) and state["position"] == [10, 10, 10]
     assert scenes.colour_ids([1, 2, 3], groups={1: "a", 2: "b", 3: "a"})[1] == scenes.colour_ids([1, 2, 3], groups={1: "a", 2: "b", 3: "a"})[3]
+
+
+def test_ids_that_are_no_roots_are_refused(spark):
+    root, chunk = (7 << 56) | 5, (2 << 56) | 5
+    assert K.only_roots(spark.createDataFrame([(root,)], "id bigint"), 7).first().id == root
+    with pytest.raises(Exception, match="of layer 2"):
+        K.only_roots(spark.createDataFrame([(root,), (chunk,)], "id bigint"), 7).collect()
+
+
+def test_mesh_folders_and_fragments(spark, tmp_path):
+    from axonframe.operators.dense_read import parse_fragment_names
+
+    assert [P.mesh_kind(i) for i in (None, {}, {"@type": "neuroglancer_legacy_mesh"}, {"@type": "neuroglancer_multilod_draco"}, {"app": {}})] == ["legacy", "legacy", "legacy", "multilod", "graph"]
+    with pytest.raises(errors.CapabilityError):
+        P.mesh_kind({"@type": "other"})
+    assert P.graph_layout({"graph": {"n_layers": 9, "chunk_size": [256, 256, 512], "spatial_bit_masks": {"1": 10}}}) == {"n_layers": 9, "chunk": (256, 256, 512), "bits": {1: 10}}
+    (tmp_path / "3").mkdir()
+    (tmp_path / "3" / "a.shard").write_bytes(b"0123456789")
+    (tmp_path / "5:0:x").write_bytes(b"own")
+    named = parse_fragment_names(spark.createDataFrame([("~3/a.shard:2:4",), ("5:0:x",), ("6:0:x",)], "name string"))
+    got = {r.name: r.payload for r in P.read_fragments(named, f"precomputed://file://{tmp_path}").collect()}
+    assert got == {"~3/a.shard:2:4": b"2345", "5:0:x": b"own", "6:0:x": None}
+
+
+def test_catalog_and_cache_of_the_session(spark, tmp_path):
+    from axonframe.sources import graph_store
+    from axonframe.sources.cache import TableCache
+
+    spark.range(2).createOrReplaceTempView("some_view")
+    assert graph_store.list_tables(spark, refresh=True)["some_view"] and graph_store.list_tables(spark, "no_such_database") == {}
+    assert "default" in graph_store.list_datasets(spark) and graph_store.list_datasets(spark, "default") == ["default"] and graph_store.list_datasets(spark, "def") == []
+    assert TableCache.of_session(spark) is None
+    spark.conf.set("spark.axonframe.cache.dir", f"file://{tmp_path}")
+    cache = TableCache.of_session(spark)
+    spark.conf.unset("spark.axonframe.cache.dir")
+    where = cache.folder("d", 1, "edges")
+    assert cache.get(where, "t", lambda: spark.range(3)).count() == cache.get(where, "t", lambda: spark.range(9)).count() == 3
