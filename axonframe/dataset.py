@@ -148,7 +148,9 @@ class Connectivity(_Part):
         if rois is not None:
             rois = self._regions(rois)
         if view is None and self.ds.cache is not None and not by_roi and rois is None:
-            view = self.ds.kept("edges", lambda: C.aggregate_edges(self.ds._synapses()))
+            # a version's edges never change; a table without versions is asked for its state
+            token = None if "versions" in self.ds.store.tables and self.ds.version_request != "live" else self.ds._freshness(self.ds._synapses())
+            view = self.ds.kept("edges", lambda: C.aggregate_edges(self.ds._synapses()), token=token)
         synapses = self.ds._synapses() if view is None or by_roi or rois is not None else None
         return C.edges(synapses, self._selection(x), edge_view=view, upstream=upstream, downstream=downstream, by_roi=by_roi, rois=rois, min_weight=min_weight, min_total_weight=min_total_weight, autapses=autapses)
 

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def partitions_of(df: DataFrame) -> int:
-    """Partitions of ``df``. For a bare table this reads no column; anything else is run as far as its partitions need."""
-    return df.select(F.spark_partition_id().alias("p")).agg(F.coalesce(F.max("p"), F.lit(0))).first()[0] + 1
+def extent_of(df: DataFrame) -> tuple[int, int]:
+    """Partitions and rows of ``df``, in one pass. For a bare table this reads no column; anything else is run as far as its rows need."""
+    return tuple(df.select(F.spark_partition_id().alias("p")).agg(F.coalesce(F.max("p"), F.lit(0)) + 1, F.count(F.lit(1))).first())
 
 
 def tree_levels(splits: int, fan_in: int) -> int:
@@ -37,7 +37,7 @@ def tree_aggregate(
     holds a third of all rows meets no reducer that receives all its partial states. By default ``levels`` follows from
     ``splits``, the partitions of the input, which are counted if not given, so that every leaf is one of them. Keys may be null (a group of its own); an empty input gives no rows.
     """
-    levels = levels or tree_levels(splits or partitions_of(df), fan_in)
+    levels = levels or tree_levels(splits or extent_of(df)[0], fan_in)
     node = "__node"
     while node in df.columns:
         node += "_"

@@ -87,7 +87,16 @@ def p4_somas_nm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("id", U.unit_name(F.col("soma_code")).alias("unit"), *[U.to_nm(F.col(f"soma__{a}"), F.col("soma_code"), a).alias(f"{a}_nm") for a in U.AXES])
 
 
-QUERIES = {"p4_found": p4_found, "p4_synapses_nm": p4_synapses_nm, "p4_somas_nm": p4_somas_nm}
+def p4_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The units of the recorded spellings and of three misspellings of each: a mark after the first letter, an ``s`` more, two letters swapped."""
+    units = table(spark, sf_dir, "synapses").select("unit").union(table(spark, sf_dir, "annotations").select("soma_unit"))
+    plain = units.select(U.fold_unit(F.col("unit")).alias("s")).where("s <> ''").distinct()
+    variants = ["s", "concat(substr(s, 1, 1), '-', substr(s, 2))", "concat(s, 's')", "CASE WHEN length(s) > 4 THEN concat(substr(s, 1, 1), substr(s, 3, 1), substr(s, 2, 1), substr(s, 4)) END"]
+    written = plain.select(F.explode(F.array(*map(F.expr, variants))).alias("s"))
+    return U.alias_dictionary(written, "s").withColumnRenamed("folded", "spelling")
+
+
+QUERIES = {"p4_found": p4_found, "p4_synapses_nm": p4_synapses_nm, "p4_somas_nm": p4_somas_nm, "p4_spellings": p4_spellings}
 
 _WORD = "nm|nanomet(?:er|re)s?|um|µm|μm|microns?|micromet(?:er|re)s?|mm|millimet(?:er|re)s?|voxels?|vox|vx"
 
@@ -145,5 +154,7 @@ ORACLES = {
         UNION ALL SELECT 'synapses', id, 'post', post_unit FROM last WHERE post_unit <> 'nm'
         UNION ALL SELECT DISTINCT 'annotations', id, 'soma', unit FROM a2 WHERE unit <> 'nm'""",
     "p4_synapses_nm": f"WITH {_SYN_SQL} SELECT id, epoch_us(loaded_at) AS loaded_us, pre_unit, post_unit, {', '.join(_nm_sql(f'{s}_{a}', f'{s}_unit', a) for s in _SITE for a in U.AXES)} FROM s2",
+    "p4_spellings": f"""WITH r AS (SELECT DISTINCT replace(replace(lower(trim(unit)), 'µ', 'u'), 'μ', 'u') AS s FROM (SELECT unit FROM synapses UNION SELECT soma_unit FROM annotations)), n AS (SELECT s, {_unit_sql("s")} AS unit FROM r)
+        SELECT DISTINCT spelling, unit FROM (SELECT unit, unnest([s, substr(s, 1, 1) || '-' || substr(s, 2), s || 's', CASE WHEN length(s) > 4 THEN substr(s, 1, 1) || substr(s, 3, 1) || substr(s, 2, 1) || substr(s, 4) END]) AS spelling FROM n WHERE unit IS NOT NULL) WHERE spelling IS NOT NULL""",
     "p4_somas_nm": f"WITH {_ANN_SQL} SELECT id, unit, {', '.join(_nm_sql(f's_{a}', 'unit', a).replace(f's_{a}_nm', f'{a}_nm') for a in U.AXES)} FROM a2",
 }

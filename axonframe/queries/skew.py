@@ -7,31 +7,33 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from axonframe.plans import partitions_of, tree_aggregate
+from axonframe.plans import extent_of, tree_aggregate
 from axonframe.plans.session import table
 
 #: A value is heavy if it holds at least one in so many rows.
 HEAVY_SHARE = 100
 
 
-def key_counts(df: DataFrame, key: str) -> DataFrame:
+def key_counts(df: DataFrame, key: str, splits: int | None = None) -> DataFrame:
     """Rows per value of ``key``: ``key_id``, ``n``. Null is counted as a value."""
-    return tree_aggregate(df.select(F.col(key).alias("key_id")), ["key_id"], {"n": (F.count(F.lit(1)), F.sum)}, splits=partitions_of(df))
+    return tree_aggregate(df.select(F.col(key).alias("key_id")), ["key_id"], {"n": (F.count(F.lit(1)), F.sum)}, splits=splits)
 
 
-def heavy_values(df: DataFrame, key: str) -> DataFrame:
+def heavy_values(df: DataFrame, key: str, extent: tuple[int, int] | None = None) -> DataFrame:
     """Values of ``key`` that hold at least one in ``HEAVY_SHARE`` of all rows: ``key_id``, ``n``.
 
     All rows count towards the total, those with a null key too; null itself is never heavy. An empty table has no
-    heavy values. At most ``HEAVY_SHARE`` rows come out.
+    heavy values. At most ``HEAVY_SHARE`` rows come out. ``extent``, the partitions and rows of the table, saves counting them.
     """
-    return key_counts(df, key).where(F.col("key_id").isNotNull() & (F.col("n") * HEAVY_SHARE >= df.count()))
+    splits, rows = extent or extent_of(df)
+    return key_counts(df, key, splits).where(F.col("key_id").isNotNull() & (F.col("n") * HEAVY_SHARE >= rows))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = []
+    parts, tables = [], {tab: table(spark, sf_dir, tab) for tab in ("synapses", "edges")}
+    extents = {tab: extent_of(df) for tab, df in tables.items()}
     for tab, col in (("synapses", "pre"), ("synapses", "post"), ("edges", "pre")):
-        heavy = heavy_values(table(spark, sf_dir, tab), col)
+        heavy = heavy_values(tables[tab], col, extents[tab])
         parts.append(heavy.select(F.lit(tab).alias("tab"), F.lit(col).alias("col_name"), "key_id"))
     return reduce(DataFrame.unionByName, parts)
 
@@ -41,7 +43,7 @@ def p2_synapse_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ends = F.explode(F.array(F.struct(F.col("pre").alias("id"), F.lit(1).alias("s"), F.lit(0).alias("r")), F.struct(F.col("post").alias("id"), F.lit(0).alias("s"), F.lit(1).alias("r"))))
     synapses = table(spark, sf_dir, "synapses")
     rows = synapses.select(ends.alias("e")).select("e.*").where("id is not null and id <> 0")
-    return tree_aggregate(rows, ["id"], {"n_sent": (F.sum("s"), F.sum), "n_received": (F.sum("r"), F.sum)}, splits=partitions_of(synapses))
+    return tree_aggregate(rows, ["id"], {"n_sent": (F.sum("s"), F.sum), "n_received": (F.sum("r"), F.sum)}, splits=extent_of(synapses)[0])
 
 
 def p2_partner_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +61,7 @@ def p2_transmitter_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     synapses = table(spark, sf_dir, "synapses")
     rows = synapses.select("pre", F.lower(F.trim("nt")).alias("nt")).where("pre is not null and pre <> 0 and nt <> ''")
-    votes = tree_aggregate(rows, ["pre", "nt"], {"n": (F.count(F.lit(1)), F.sum)}, splits=partitions_of(synapses))
+    votes = tree_aggregate(rows, ["pre", "nt"], {"n": (F.count(F.lit(1)), F.sum)}, splits=extent_of(synapses)[0])
     best = votes.groupBy("pre").agg(F.sum("n").alias("n_votes"), F.max("n").alias("n_best"), F.min_by("nt", F.struct(-F.col("n"), F.col("nt"))).alias("nt"))
     return best.select(F.col("pre").alias("id"), "nt", "n_best", "n_votes")
 

@@ -1,6 +1,7 @@
 """Every namespace of the handle, once through."""
 
 import datetime as dt
+import json
 
 import numpy as np
 import pytest
@@ -10,6 +11,7 @@ from axonframe.dataset import Dataset
 from axonframe.model import errors
 from axonframe.model.spec import AnnotationSource, Cap, DatasetSpec, NtColumns, SparseVolumes, StoreSpec
 from axonframe.operators import meshes as M
+from axonframe.sources import precomputed as P
 from axonframe.sources.cache import TableCache
 
 T0, T1 = dt.datetime(2020, 1, 1), dt.datetime(2021, 1, 1)
@@ -171,3 +173,32 @@ def test_identity(ds, spark):
     assert not hasattr(door, "graph") and not hasattr(door, "l2") and door.supports(Cap.ROIS)
     with pytest.raises(errors.CapabilityError, match="cave"):
         door.graph  # noqa: B018
+
+
+def test_a_dense_read(spark, tmp_path):
+    """Voxels of roots from the blocks under their level-2 chunks, at a coarser scale, masked by their supervoxels."""
+    cube = np.random.default_rng(3).integers(0, 6, (16, 16, 16)).astype(np.uint64)
+    scales = []
+    for k, part in enumerate((cube, cube[::2, ::2, ::2])):
+        scales.append({"key": f"s{k}", "resolution": [4 * 2**k, 4 * 2**k, 40 * 2**k], "size": list(part.shape), "chunk_sizes": [[8, 8, 8]], "voxel_offset": [0, 0, 0], "encoding": "raw"})
+        (tmp_path / f"s{k}").mkdir()
+        s = P.scales_of({"scales": [scales[-1]]})[0]
+        for place in np.ndindex(*s.grid):
+            low, high = s.chunk_box(place)
+            (tmp_path / s.chunk_name(place)).write_bytes(part[tuple(slice(a, b) for a, b in zip(low, high, strict=True))].tobytes(order="F"))
+    (tmp_path / "info").write_text(json.dumps({"data_type": "uint64", "scales": scales}))
+    label = lambda x, y, z: (2 << 56) | (x << 46) | (y << 36) | (z << 26) | 1
+    chunks = [(0, 0, 0), (1, 0, 1)]
+    l2 = spark.createDataFrame([(70, label(*c)) for c in chunks] + [(80, label(*chunks[0]))], "id bigint, l2_id bigint")
+    graph = spark.createDataFrame([(1, 70, T0, None), (2, 70, T0, None), (3, 80, T0, None), (4, 70, T0, T1)], "supervoxel bigint, root bigint, valid_from timestamp, valid_to timestamp")
+    roles = {"volume": str(tmp_path), "l2": "l2", "graph": "graph"}
+    spec = DatasetSpec("d", (StoreSpec("cave", "here", tables=roles),), voxel_size=(4.0, 4.0, 40.0), n_scales=2, graph_chunk=(8, 8, 8), capabilities=frozenset(Cap))
+    ds = Dataset(spec, spark, tables={"l2": l2, "graph": graph}.__getitem__)
+    got = {(r.id, r.x, r.y, r.z) for r in ds.voxels.get([70, 80], scale=0).collect()}
+    inside = np.zeros(cube.shape, dtype=bool)
+    for c in chunks:
+        inside[tuple(slice(8 * a, 8 * a + 8) for a in c)] = True
+    assert got == {(70 if v < 3 else 80, *p) for p, v in np.ndenumerate(cube) if 1 <= v <= 3 and inside[p]}
+    small = cube[::2, ::2, ::2]
+    assert {(r.id, r.x, r.y, r.z) for r in ds.voxels.get([80], scale=1).collect()} == {(80, *p) for p, v in np.ndenumerate(small) if v == 3}
+    assert ds.voxels.get([70], scale=0, output="runs", max_chunks=1).count() > 0
